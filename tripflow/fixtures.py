@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tripflow.operators.keyed import metadata_eligible, metadata_rows, quarantine
 from tripflow.operators.scoring import score_stream
+from tripflow.sources.files import spread
 
 THIS_YEAR = 2026
 
@@ -25,7 +26,8 @@ def _every(key: str, n: int) -> Column:
 
 
 def _plus(moment: Column, seconds: Column) -> Column:
-    return F.timestamp_add("SECOND", seconds, moment.cast("timestamp_ntz"))
+    micros = F.unix_micros(moment.cast("timestamp")) + seconds * 1000000
+    return F.timestamp_micros(micros).cast("timestamp_ntz")
 
 
 # ---- events ----------------------------------------------------------------------------------
@@ -72,7 +74,7 @@ def as_trip_events(events: DataFrame) -> DataFrame:
 
 
 def trip_events(spark: SparkSession, sf: str) -> DataFrame:
-    return as_trip_events(table(spark, sf, "events"))
+    return as_trip_events(spread(table(spark, sf, "events"), "event_id"))
 
 
 def scored_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -116,10 +118,10 @@ def health_checks(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- monthly trips ---------------------------------------------------------------------------
 
-def _trip_base(spark: SparkSession, sf: str) -> DataFrame:
+def _trip_base(lines: DataFrame) -> DataFrame:
     spread = F.col("l_partkey") * 7919 + F.col("l_suppkey") * 104729 + F.col("l_orderkey") * 31
     minutes = F.col("l_quantity").cast("bigint") * F.col("l_linenumber")
-    return table(spark, sf, "lineitem").select(
+    return lines.select(
         "*", _plus(F.col("l_shipdate"), spread % 86400).alias("started"),
         (minutes * 60 + F.col("l_partkey") % 60).alias("seconds"),
         (F.col("l_partkey") % 331).alias("to_station"),
@@ -128,7 +130,7 @@ def _trip_base(spark: SparkSession, sf: str) -> DataFrame:
 
 def trips(spark: SparkSession, sf: str) -> DataFrame:
     """Typed trips in the layout the usage queries read; ride ids repeat as order lines do."""
-    base = _trip_base(spark, sf)
+    base = _trip_base(table(spark, sf, "lineitem"))
 
     def name(station: str) -> Column:
         renamed = F.when(F.col("l_linenumber") > 4, " (new)").otherwise("")
@@ -167,7 +169,8 @@ RAW_ORDER = ["_order", "_line", "_part", "_supplier", "_price", "_shipped"]
 
 def raw_trips(spark: SparkSession, sf: str) -> DataFrame:
     """Monthly rows as they come from files: text under legacy headers, ride ids from 2000 on."""
-    base = _trip_base(spark, sf)
+    lines = table(spark, sf, "lineitem")
+    base = _trip_base(spread(lines, "l_orderkey", "l_linenumber"))
     line, flag = F.col("l_linenumber"), F.col("l_returnflag")
     modern = F.year("l_shipdate") >= 2000
     iso, us = "yyyy-MM-dd HH:mm:ss", "M/d/yyyy HH:mm:ss"

@@ -5,27 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Text forms accepted as a number and as a time.
-NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*$"
-NUMBER_OR_NAN = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
+# Letters no plain number has, and words that stand for special numbers.
+NOT_IN_NUMBERS = "[a-df-zA-DF-Z_]"
+INFINITY_WORDS = ["inf", "+inf", "-inf", "infinity", "+infinity", "-infinity"]
+NAN_WORDS = ["nan", "+nan", "-nan"]
+
+# Text forms accepted as a time.
 ISO_TIME = (
     r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?"
     r"(Z|[+-]\d{2}(:?\d{2}(:?\d{2})?)?)?)?$"
 )
 ZONE_OFFSET = r"[T ]\d{2}(:\d{2}){0,2}([.,]\d+)?(Z|[+-]\d{2}(:?\d{2}){0,2})$"
-LOOSE_DATE = r"^\s*(\d{1,2}/\d{1,2}/\d{4}|\d{4}[-/]\d{1,2}[-/]\d{1,2})(\D|$)"
 US_DATE = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})"
 SLASHED_DATE = r"^\s*(\d{4})/(\d{1,2})/"
+SHORTEST_DATE = len("2024-1-5")
 
 
 def to_num(value: Column) -> Column:
-    """Text to double; a trailing type letter, a word or NaN gives NULL, infinity is kept."""
-    return F.when(value.rlike(NUMBER), value.try_cast("double"))
+    """Text to double; a trailing type letter, a word or NaN gives NULL, infinity is kept.
+
+    One scan for a foreign letter keeps the cast away from forms only the JVM takes for numbers
+    ('1d', '0x1p3') and from most text on which it would raise and catch an error.
+    """
+    number = value.try_cast("double")
+    return F.when(~value.rlike(NOT_IN_NUMBERS), number) \
+        .when(F.lower(F.trim(value)).isin(INFINITY_WORDS), number)
 
 
-def is_number_text(value: Column) -> Column:
-    """True when the text reads as a number, including infinity and not-a-number."""
-    return value.rlike(NUMBER_OR_NAN)
+def is_nan_text(value: Column) -> Column:
+    return F.lower(F.trim(value)).isin(NAN_WORDS)
 
 
 def is_infinite(number: Column) -> Column:
@@ -58,15 +66,30 @@ def iso_ts(value: Column) -> Column:
 
 
 def to_ts(value: Column) -> Column:
-    """Date and time text of any known file family to a naive time, else NULL."""
+    """Date and time text of any known file family to a naive time, else NULL.
+
+    Year-first text without a zone, the usual case, is cast as it is; an offset can only stand
+    behind the date.
+    """
+    behind_date = F.substring(value, 11, 64)
+    zoned = value.endswith("Z") | behind_date.contains("+") | behind_date.contains("-")
     year_first = F.regexp_replace(value, US_DATE, "$3-$1-$2")
-    return F.when(
-        value.rlike(LOOSE_DATE), _naive(F.regexp_replace(year_first, SLASHED_DATE, "$1-$2-")))
+    return (
+        F.when(F.length(value) < SHORTEST_DATE, F.lit(None).cast("timestamp_ntz"))
+        .when(value.contains("/"),
+              _naive(F.regexp_replace(year_first, SLASHED_DATE, "$1-$2-")))
+        .when(zoned, _naive(value))
+        .otherwise(value.try_cast("timestamp_ntz"))
+    )
+
+
+def _micros(moment: Column) -> Column:
+    return F.unix_micros(moment.cast("timestamp"))
 
 
 def seconds_between(start: Column, end: Column) -> Column:
     """Seconds from start to end as a double, fractions kept."""
-    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(1000000.0)
+    return (_micros(end) - _micros(start)) / F.lit(1000000.0)
 
 
 def blank_to_null(value: Column) -> Column:

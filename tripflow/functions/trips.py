@@ -72,7 +72,7 @@ def text_fill(value: Column) -> Column:
 
 def file_name(path: Column) -> Column:
     """Last part of a path."""
-    return F.regexp_extract(path, r"([^/\\]*)$", 1)
+    return F.substring_index(path, "/", -1)
 
 
 def file_stem(name: Column) -> Column:
@@ -86,7 +86,9 @@ def to_the_second(moment: Column) -> Column:
 
 
 def year_month(moment: Column) -> Column:
-    return F.date_format(moment, "yyyy-MM")
+    # two date fields are cheaper per row than a formatter
+    month = F.lpad(F.month(moment).cast("string"), 2, "0")
+    return F.concat_ws("-", F.lpad(F.year(moment).cast("string"), 4, "0"), month)
 
 
 def ride_key(source_file: Column, started: Column, ended: Column, bike: Column) -> Column:

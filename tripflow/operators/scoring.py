@@ -158,7 +158,8 @@ def _parsed_number(df: DataFrame, name: str) -> tuple[Column, Column]:
     """(number, unreadable): typed columns are taken as they are, text is parsed."""
     value = _column(df, name)
     if isinstance(_kind(df, name), T.StringType):
-        return P.to_num(value), value.isNotNull() & ~P.is_number_text(value)
+        number = P.to_num(value)
+        return number, value.isNotNull() & number.isNull() & ~P.is_nan_text(value)
     number = value.cast("double")
     return F.when(~F.isnan(number), number), F.lit(False)
 

@@ -17,6 +17,10 @@ SETTINGS = {
     # month '01' must stay text when a folder is read back
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # no Python stack walk on every column expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # the JVM never compiles a method above this size; such a stage runs faster operator by operator
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -30,6 +34,13 @@ def build_session(app: str = "tripflow", master: str | None = None, **overrides:
     return builder.getOrCreate()
 
 
+def apply_settings(spark: SparkSession) -> SparkSession:
+    """The settings above on a session made elsewhere."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for ``checkpoint()``: the cluster's own one, else a folder for a local run."""
     context = spark.sparkContext
