@@ -46,12 +46,13 @@ def issue_frequency(metadata: DataFrame) -> DataFrame:
     """Trips per issue and their share of all trips, those without an issue included.
 
     Trips are folded to one row per combination of issues, of which there are few; the issues are
-    unnested from these rows and the total is taken from the same aggregation.
+    unnested from these rows and the total is taken from the same aggregation. The outer unnesting
+    keeps both uses of that aggregation alike, so that it runs once and its result is reused.
     """
     combinations = metadata.groupBy("quality_issues").agg(F.count("*").alias("trips"))
     total = combinations.agg(F.sum("trips")).scalar()
-    return combinations.select(F.explode("quality_issues").alias("issue"), "trips") \
-        .groupBy("issue").agg(F.sum("trips").alias("frequency")) \
+    unnested = combinations.select(F.explode_outer("quality_issues").alias("issue"), "trips")
+    return unnested.where(F.col("issue").isNotNull()).groupBy("issue").agg(F.sum("trips").alias("frequency")) \
         .select("issue", "frequency", Q.percentage(F.col("frequency"), total).alias("percentage")) \
         .orderBy(F.desc("frequency"), "issue")
 

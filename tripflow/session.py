@@ -35,9 +35,10 @@ def build_session(app: str = "tripflow", master: str | None = None, **overrides:
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
-    """The settings above on a session made elsewhere."""
+    """The settings above on a session made elsewhere, as far as they can still be changed."""
     for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
     return spark
 
 
