@@ -50,8 +50,8 @@ def insert_if_absent(
 def build_stations(trips: DataFrame, order: list[str], seen_at: Column) -> DataFrame:
     """First name and position of each station, start rows before end rows.
 
-    Trips are folded to distinct (role, station, name, position) with the earliest place of each
-    before the ranking, so the shuffle carries stations, not trips.
+    Both stations of a trip come from one pass over it. Positions may differ from trip to trip, so
+    nothing is grouped by them: each task keeps its first row per station and only those move.
     """
     def side(role: int, prefix: str) -> Column:
         return F.struct(
@@ -62,13 +62,10 @@ def build_stations(trips: DataFrame, order: list[str], seen_at: Column) -> DataF
             F.col(f"{prefix}_lng").cast("double").alias("longitude"),
         )
 
-    place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     sides = trips.select(
-        F.explode(F.array(side(0, "start"), side(1, "end"))).alias("side"), place.alias("_place"),
-    ).select("side.*", "_place").where(F.col("station_id").isNotNull())
-    folded = sides.groupBy("role", "station_id", "station_name", "latitude", "longitude") \
-        .agg(F.min("_place").alias("_place"))
-    first = first_per_key(folded, ["station_id"], ["role", "_place"])
+        F.explode(F.array(side(0, "start"), side(1, "end"))).alias("side"), *order,
+    ).select("side.*", *order).where(F.col("station_id").isNotNull())
+    first = first_per_key(sides, ["station_id"], ["role", *order])
     return first.select(
         "station_id", "station_name", "latitude", "longitude",
         seen_at.alias("first_seen"), seen_at.alias("last_seen"),

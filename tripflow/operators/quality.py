@@ -191,7 +191,7 @@ def batch_quality_stats(scored: DataFrame, as_of: Column) -> DataFrame:
 
 
 def batch_profile(batch: DataFrame) -> DataFrame:
-    """Rows and first and last arrival per bike type of a batch, and over all (NULL type key)."""
+    """Rows and first and last arrival per bike type of a batch."""
     return batch.groupBy("bike_type").agg(
         F.count("*").alias("trips"),
         F.min("ingested_at").alias("min_ingested_at"),
