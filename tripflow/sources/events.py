@@ -31,32 +31,33 @@ def kafka_events(
     return reader.load().select(F.col("value").cast("string").alias("value"))
 
 
-def _absent() -> Column:
-    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in schema.EVENT_REQUIRED])
+def parse_bodies(bodies: DataFrame, column: str = "value") -> DataFrame:
+    """JSON bodies to text fields with defaults, parsed once per row.
 
-
-def parse_events(bodies: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
-    """(events, rejected): fields as text with defaults; a body without a required field is rejected.
-
-    A field left out takes its default; one given as null stays null and is handled by scoring.
+    ``_rejected`` holds the body of a row that lacks a required field, and is NULL on good rows.
     """
     rows = compute_once(
         bodies.select(F.col(column).alias("_body")),
-        {"event": F.from_json("_body", schema.EVENT, {"mode": "PERMISSIVE"}),
-         "_names": F.json_object_keys("_body")},
-    ).select("_body", "_names", "event.*")
-
-    def given(name: str) -> Column:
-        return F.coalesce(F.array_contains("_names", name), F.lit(False))
-
-    defaults = {"rider_age": "0", "member_casual": "casual"}
-    filled = rows.withColumns({
-        c: F.when(F.col(c).isNull() & ~given(c), text).otherwise(F.col(c))
-        for c, text in defaults.items()
-    })
-    events = filled.where(~_absent()).drop("_body", "_names")
-    rejected = rows.where(_absent()).select(F.col("_body").alias("body"))
-    return events, rejected
+        {"event": F.from_json("_body", schema.EVENT, {"mode": "PERMISSIVE"})},
+    ).select("_body", "event.*")
+    incomplete = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in schema.EVENT_REQUIRED])
+    return rows.withColumns({
+        "rider_age": F.coalesce("rider_age", F.lit("0")),
+        "member_casual": F.coalesce("member_casual", F.lit("casual")),
+        "_rejected": F.when(incomplete, F.coalesce("_body", F.lit(""))),
+    }).drop("_body")
+
+
+def split_rejected(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows without a reason to reject, rejected bodies) of parsed rows."""
+    kept = rows.where(F.col("_rejected").isNull()).drop("_rejected")
+    rejected = rows.where(F.col("_rejected").isNotNull())
+    return kept, rejected.select(F.col("_rejected").alias("body"))
+
+
+def parse_events(bodies: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(events, rejected): a body without a required field is rejected."""
+    return split_rejected(parse_bodies(bodies, column))
 
 
 def stamp_ingest(events: DataFrame, now: Column | None = None) -> DataFrame:

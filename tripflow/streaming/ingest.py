@@ -17,6 +17,7 @@ from tripflow.operators import keyed
 from tripflow.operators.scoring import score_stream
 from tripflow.sources import events as E
 from tripflow.sources import tables
+from tripflow.sources.files import spread
 
 # Wait of the poll loop between flushes.
 FLUSH_EVERY = "5 seconds"
@@ -59,11 +60,11 @@ def split_events(scored: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def write_batch(bodies: DataFrame, batch: int, sinks: Sinks) -> None:
-    """Write one micro-batch to all sinks; parsed and scored once."""
-    parsed, rejected = E.parse_events(bodies)
-    scored = score_events(parsed).persist()
+    """Write one micro-batch to all sinks; parsed and scored once for all of them."""
+    scored = score_events(E.parse_bodies(spread(bodies, "value"))).persist()
     try:
-        bronze, metadata, poison = split_events(scored)
+        events, rejected = E.split_rejected(scored)
+        bronze, metadata, poison = split_events(events)
         tables.write_bronze(bronze, sinks.bronze, batch, sinks.bronze_form)
         tables.append_metadata(metadata, sinks.metadata, batch)
         _write_aside(poison.drop(*[c for c in poison.columns if c.startswith("_")]),
