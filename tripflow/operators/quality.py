@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tripflow import schema
 from tripflow.functions import quality as Q
 from tripflow.functions import trips as C
-from tripflow.operators.keyed import anti_join
 
 # Rows of the two recent lists.
 RECENT_TRIPS = 10
