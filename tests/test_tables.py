@@ -9,6 +9,7 @@ from test_keyed import DAY, arrival
 from tripflow import schema
 from tripflow.operators.scoring import score_batch
 from tripflow.plans.quality_batch import run_quality_batch
+from tripflow.session import shuffle_partitions
 from tripflow.sources import tables
 from tripflow.sources.events import read_bronze_since
 
@@ -96,6 +97,17 @@ def test_bronze_look_back_and_quality_batch(spark, tmp_path):
     assert report[0].quality_bands.asDict() == {"EXCELLENT": 1, "GOOD": 0, "FAIR": 0, "POOR": 0}
 
 
+def test_json_look_back_with_a_layout(spark, tmp_path):
+    (tmp_path / "t.json").write_text('[{"trip_id": "a", "bike_id": 7, "rider_age": 30}]')
+    row = read_bronze_since(spark, str(tmp_path), F.current_timestamp(), 60, "json", schema.EVENT)
+    assert [(r.trip_id, r.bike_id, r.rider_age) for r in row.collect()] == [("a", "7", "30")]
+
+
+def test_shuffle_tasks_follow_the_data():
+    assert shuffle_partitions(10, cores=8) == 16
+    assert shuffle_partitions(100 * 1024 ** 4, cores=4000) == 524288
+
+
 def test_json_arrays_are_read_as_rows(spark, tmp_path):
     (tmp_path / "trip_1.json").write_text('[{"trip_id": "a", "bike_id": 1}, {"trip_id": "b", "bike_id": 2}]')
     (tmp_path / "trip_2.json").write_text('{"trip_id": "c", "bike_id": 3}')

@@ -24,14 +24,34 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "tripflow", master: str | None = None, **overrides: str) -> SparkSession:
-    """Session with the settings above; ``master`` is left to spark-submit unless given."""
+SHUFFLE_TASK_BYTES = 200 * 1024 * 1024
+
+
+def shuffle_partitions(moved_bytes: int, cores: int) -> int:
+    """Tasks of a shuffle: about 200 MB each, and at least two per core."""
+    return max(2 * cores, -(-moved_bytes // SHUFFLE_TASK_BYTES))
+
+
+def build_session(
+    app: str = "tripflow", master: str | None = None, moved_bytes: int | None = None,
+    **overrides: str,
+) -> SparkSession:
+    """Session with the settings above; ``master`` is left to spark-submit unless given.
+
+    ``moved_bytes`` is the size of the largest shuffle to expect (a full load or metadata fold
+    moves whole rows). It sets the number of shuffle tasks to start from; adaptive execution merges
+    them where a query moves less, but cannot cut tasks that start too large for memory.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for key, value in {**SETTINGS, **overrides}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if moved_bytes:
+        tasks = shuffle_partitions(moved_bytes, spark.sparkContext.defaultParallelism)
+        spark.conf.set("spark.sql.shuffle.partitions", str(tasks))
+    return spark
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:

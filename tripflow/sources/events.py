@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripflow import schema
 from tripflow.functions import parsing as P
@@ -68,17 +69,21 @@ def stamp_ingest(events: DataFrame, now: Column | None = None) -> DataFrame:
 
 
 def read_bronze_since(
-    spark: SparkSession, root: str, as_of: Column, minutes: int = 15, form: str = "parquet"
+    spark: SparkSession, root: str, as_of: Column, minutes: int = 15, form: str = "parquet",
+    layout: T.StructType | None = None,
 ) -> DataFrame:
     """Stored events of files written in the last minutes, both ends included.
 
     The bounds are on file metadata, so files outside them are dropped from the scan unopened.
-    Adds the file's path, size and time.
+    Adds the file's path, size and time. Without a ``layout`` JSON files are all read once more to
+    infer one; give it where the folder is large.
     """
     reader = spark.read.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
     if form == "json":
         # a file may hold one event, or an array of events
         reader = reader.option("multiLine", True).option("mode", "PERMISSIVE")
+    if layout is not None:
+        reader = reader.schema(layout)
     rows = reader.format(form).load(root)
     written = F.col("_metadata.file_modification_time")
     upper = as_of.cast("timestamp")
