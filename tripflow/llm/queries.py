@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tripflow.llm import chat_format, exact_dedup
+from tripflow.llm import chat_format, exact_dedup, mixing
 
 _JOBS = (
+    mixing.op4_mixing,
     exact_dedup.op10_exact_dedup,
     chat_format.op8_chat_format,
 )
 
 QUERIES = {job.__name__: job for job in _JOBS}
-SQL = exact_dedup.SQL | chat_format.SQL
+SQL = exact_dedup.SQL | chat_format.SQL | mixing.SQL
