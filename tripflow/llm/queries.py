@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from tripflow.llm import chat_format, exact_dedup, mixing
+from tripflow.llm import chat_format, exact_dedup, license_scan, mixing, secret_scan
 
 _JOBS = (
+    secret_scan.op3_secret_scan,
+    license_scan.op5_license_scan,
     mixing.op4_mixing,
     exact_dedup.op10_exact_dedup,
     chat_format.op8_chat_format,
