@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tripflow.llm import chat_format, exact_dedup, license_scan, mixing, secret_scan
+from tripflow.llm import chat_format, exact_dedup, language_id, license_scan, mixing, secret_scan
 
 _JOBS = (
+    language_id.op6_language_id,
     secret_scan.op3_secret_scan,
     license_scan.op5_license_scan,
     mixing.op4_mixing,
