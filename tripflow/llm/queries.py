@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tripflow.llm import chat_format, exact_dedup, language_id, license_scan, mixing, secret_scan
+from tripflow.llm import chat_format, exact_dedup, language_id, license_scan, mixing, near_dedup, secret_scan
 
 _JOBS = (
+    near_dedup.op9_near_dedup,
     language_id.op6_language_id,
     secret_scan.op3_secret_scan,
     license_scan.op5_license_scan,
@@ -14,4 +15,4 @@ _JOBS = (
 )
 
 QUERIES = {job.__name__: job for job in _JOBS}
-SQL = exact_dedup.SQL | chat_format.SQL | mixing.SQL
+SQL = exact_dedup.SQL | chat_format.SQL | mixing.SQL | near_dedup.SQL
