@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
-from tripflow.llm import chat_format, exact_dedup, language_id, license_scan, mixing, near_dedup, secret_scan
+from tripflow.llm import (
+    chat_format,
+    decontamination,
+    exact_dedup,
+    language_id,
+    license_scan,
+    mixing,
+    near_dedup,
+    secret_scan,
+)
 
 _JOBS = (
+    decontamination.op1_decontamination,
     near_dedup.op9_near_dedup,
     language_id.op6_language_id,
     secret_scan.op3_secret_scan,
