@@ -11,9 +11,11 @@ from tripflow.llm import (
     mixing,
     near_dedup,
     secret_scan,
+    token_counts,
 )
 
 _JOBS = (
+    token_counts.op2_token_counts,
     decontamination.op1_decontamination,
     near_dedup.op9_near_dedup,
     language_id.op6_language_id,
