@@ -10,11 +10,13 @@ from tripflow.llm import (
     license_scan,
     mixing,
     near_dedup,
+    ngram_model,
     secret_scan,
     token_counts,
 )
 
 _JOBS = (
+    ngram_model.op7_lm_scoring,
     token_counts.op2_token_counts,
     decontamination.op1_decontamination,
     near_dedup.op9_near_dedup,
