@@ -12,8 +12,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from tripflow.session import ensure_checkpoint_dir
 
@@ -45,6 +46,22 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
+def keep_rows(docs: DataFrame, kept: DataFrame, digest: Column) -> DataFrame:
+    """The rows of ``docs`` whose id and digest are in ``kept`` (doc_id, digest); of rows that repeat both, one.
+
+    NULL ids match NULL ids. Join and ranking use the same three keys, so the rows move once.
+    """
+    key = ["_kept_id", "_kept_null", "_kept_digest"]
+    id_ = F.col("doc_id")
+    left = docs.withColumns({key[0]: F.coalesce(id_, F.lit(0).cast("long")), key[1]: id_.isNull(), key[2]: digest})
+    right = kept.select(F.coalesce(id_, F.lit(0).cast("long")).alias(key[0]), id_.isNull().alias(key[1]),
+                        F.col("digest").alias(key[2])).distinct()
+    plain = [f.name for f in docs.schema if isinstance(f.dataType, AtomicType) and f.name != "text"]
+    first = Window.partitionBy(*key).orderBy(*[F.col(f"`{c}`") for c in plain])
+    joined = left.join(right, key, "left_semi").withColumn("_kept_nth", F.row_number().over(first))
+    return joined.where("_kept_nth = 1").drop(*key, "_kept_nth")
+
+
 def crc_part(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; NULL ids count as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % parts

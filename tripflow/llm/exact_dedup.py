@@ -140,6 +140,12 @@ def dedupe(docs: DataFrame) -> DataFrame:
         "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "text_sha256")
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows that stay, all columns as they are."""
+    stay = classes(docs).where("row = keep_row").select("doc_id", F.col("text_sha256").alias("digest"))
+    return common.keep_rows(docs, stay, F.sha2(F.coalesce("text", F.lit("")), 256))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe(common.table(spark, sf_dir, "documents"))
 

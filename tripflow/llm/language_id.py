@@ -226,6 +226,26 @@ def identify(docs: DataFrame, samples: list[tuple[str, str]], held_out=None) ->
         run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
+def keep_identified(docs: DataFrame, samples: list[tuple[str, str]]) -> DataFrame:
+    """The rows that have a language, all columns as they are; without any label, the rows that have a letter."""
+    spark, at = docs.sparkSession, docs.columns.index("text")
+    common.small_batches(spark)
+    sent, version = spark.sparkContext.broadcast(samples), hash(tuple(samples))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = _model(sent, version)
+        for batch in batches:
+            for piece in common.pieces(batch, "text"):
+                texts = piece.column(at).to_pylist()
+                if model.languages:
+                    keep = [name != UNKNOWN for name in model.predict(texts)[0]]
+                else:
+                    keep = [bool(model.symbols(text or "").any()) for text in texts]
+                yield piece.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     held_out = common.crc_part(F.col("doc_id"), 3) == 1

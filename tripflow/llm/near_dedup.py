@@ -112,7 +112,7 @@ def node_ids(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _sketched(width: int, n_bands: int):
-    """doc_id, n_shingles, node (NULL for the empty set), a byte of each coordinate, the hash of each band."""
+    """doc_id, text_hash, n_shingles, node (NULL for the empty set), a byte of each coordinate, the hash of each band."""
     t = n_bands * ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,9 +132,9 @@ def _sketched(width: int, n_bands: int):
                 for k, i in enumerate(full):
                     sketch_of[i], keys_of[i] = byte[k].tobytes(), common.signed(keys[k])
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column(0), pa.array(sizes), pa.array(node_ids(sets), mask=sizes == 0),
+                    [piece.column(0), piece.column(2), pa.array(sizes), pa.array(node_ids(sets), mask=sizes == 0),
                      pa.array(sketch_of, pa.binary()), pa.array(keys_of, pa.list_(pa.int64()))],
-                    ["doc_id", "n_shingles", "node", "sketch", "keys"])
+                    ["doc_id", "text_hash", "n_shingles", "node", "sketch", "keys"])
     return run
 
 
@@ -304,28 +304,35 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
-    """doc_id, n_shingles, class_id (smallest id with the same set), component_id (smallest id that can be
+    """doc_id, text_hash, n_shingles, class_id (smallest id with the same set), component_id (smallest id that can be
     reached by links), kept (its id is the component's) for every row."""
     common.small_batches(docs.sparkSession)
-    sketched = common.stored(docs.select("doc_id", "text").mapInArrow(
+    sketched = common.stored(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
         _sketched(width, bands(threshold)),
-        "doc_id long, n_shingles long, node long, sketch binary, keys array<long>"), "sketches")
+        "doc_id long, text_hash long, n_shingles long, node long, sketch binary, keys array<long>"), "sketches")
     classes = sketched.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("class_id"))
     found = components(links(docs, sketched, width, threshold))
     classes = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = classes.groupBy("component").agg(F.min("class_id").alias("component_id"))
     classes = classes.join(least, "component").drop("component")
     own = F.col("node").isNull()
-    joined = sketched.select("doc_id", "n_shingles", "node").join(classes.withColumnRenamed("node", "of"),
+    joined = sketched.select("doc_id", "text_hash", "n_shingles", "node").join(classes.withColumnRenamed("node", "of"),
                                                                  F.expr("node = of"), "left")
     return joined.select(
-        "doc_id", "n_shingles", F.when(own, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        "doc_id", "text_hash", "n_shingles", F.when(own, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.when(own, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")).withColumn(
             "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def keep_one(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
+    """The rows with their component's smallest id (of those that repeat id and text one), all columns as they are."""
+    stay = near_duplicates(docs, width, threshold).where("kept").select("doc_id", F.col("text_hash").alias("digest"))
+    return common.keep_rows(docs, stay, F.xxhash64("text"))
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(common.table(spark, sf_dir, "documents"), width=3, threshold=0.85).drop("class_id")
+    return near_duplicates(common.table(spark, sf_dir, "documents"), width=3, threshold=0.85).drop(
+        "class_id", "text_hash")
 
 
 SQL = {"op9_near_dedup": r"""
