@@ -15,6 +15,8 @@ the stream, in any order among themselves); an empty table gives no rows. Other
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,8 +28,10 @@ CAP = 2.0
 BLOCK_WORDS = 32
 #: documents of a source in one window, about
 BUCKET_ROWS = 20_000
-#: consecutive slots in one window at most
-CHUNK_SLOTS = 1 << 15
+#: consecutive slots in one window at most, as a power of two
+CHUNK_BITS = 15
+#: slots made by one task
+TASK_SLOTS = 1 << 19
 #: fraction of the golden ratio in units of 2 ** -62 (a fixed value); the product wraps, its low 62 bits count
 GOLDEN_62 = 2850178704830799621
 
@@ -86,23 +90,17 @@ def place_documents(sizes: DataFrame, sources: DataFrame) -> DataFrame:
 def schedule(spark: SparkSession, sources: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
     """slot, nth, rank: the source of every slot, and its rank among the slots of that source.
 
-    The number of slots is the target words over the words of a block. The shares' upper bounds (a row for
-    each source) are found by a search in one sorted array per slot.
+    The number of slots is the target words over the words of a block. The shares' upper bounds (one for
+    each source) are one sorted array, in which every point counts those it has passed.
     """
     steps = Window.orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
-    bounds = sources.select("nth", F.sum("target").over(steps).alias("upto"))
-    one = bounds.agg(F.array_sort(F.collect_list("upto")).alias("upto"))
-    one = one.withColumn("total", F.coalesce(F.element_at("upto", -1), F.lit(0.0)))
-    slots = F.ceil(F.col("total") / block).cast("long")
-    # chunk numbers first, spread over tasks, then the slots of each chunk
-    chunks = one.select("upto", "total", slots.alias("slots")).withColumn(
-        "chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(
-            F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / CHUNK_SLOTS)))))
-    chunks = chunks.repartition("chunk")
-    points = chunks.withColumn("slot", F.explode(F.sequence(
-        F.col("chunk") * CHUNK_SLOTS,
-        F.least((F.col("chunk") + 1) * CHUNK_SLOTS, F.greatest(F.col("slots"), F.lit(1))) - 1)))
-    points = points.where("slot < slots")
+    bounds = sources.select(F.sum("target").over(steps).alias("upto"))
+    total = bounds.agg(F.max("upto")).first()[0] or 0.0
+    slots = math.ceil(total / block)
+    tasks = max(spark.sparkContext.defaultParallelism, -(-slots // TASK_SLOTS))
+    points = spark.range(0, slots, 1, tasks).select(
+        F.col("id").alias("slot"), F.shiftright("id", CHUNK_BITS).alias("chunk"),
+        bounds.agg(F.array_sort(F.collect_list("upto"))).scalar().alias("upto"))
     # the low 31 bits of the multiplier and of its rest separately, so that no product leaves 64 bits
     high, low = GOLDEN_62 >> 31, GOLDEN_62 & (1 << 31) - 1
     mask31 = (1 << 31) - 1
@@ -111,7 +109,7 @@ def schedule(spark: SparkSession, sources: DataFrame, block: int = BLOCK_WORDS)
     tops = (n_low.bitwiseAND(F.lit(mask31)) * high).bitwiseAND(F.lit((1 << 31) - 1)) + (
         n_high * low).bitwiseAND(F.lit(mask31)) + F.shiftright(lows, 31)
     unit = tops.bitwiseAND(F.lit(mask31)) * float(2 ** -31) + lows.bitwiseAND(F.lit(mask31)) * float(2 ** -62)
-    place = unit * F.col("total")
+    place = unit * total
     nth = F.size(F.filter("upto", lambda u: u <= place))
     points = points.select("chunk", "slot", F.least(nth, F.size("upto") - 1).alias("nth"))
     counts = points.groupBy("nth", "chunk").agg(F.count("*").alias("n"))
@@ -126,7 +124,7 @@ def schedule(spark: SparkSession, sources: DataFrame, block: int = BLOCK_WORDS)
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP,
         block: int = BLOCK_WORDS) -> DataFrame:
-    """doc_id, size, source_size, target, taken for every row: words the mix takes of it, repeats counted."""
+    """doc_id, source, size, source_size, target, taken for every row: words the mix takes of it, repeats counted."""
     spark = docs.sparkSession
     sizes = common.stored(docs.select("doc_id", "source", size(F.col("text")).alias("size")), "sizes")
     sources = common.stored(targets(sizes, weights, share, cap), "targets")
@@ -143,13 +141,14 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP
         F.floor(F.col("begin") / block), F.floor((F.col("begin") + F.col("size") - 1) / block))).alias("block"))
     words = F.least(F.col("begin") + F.col("size"), (F.col("block") + 1) * block) - F.greatest(
         F.col("begin"), F.col("block") * block)
-    taken = parts.join(uses, ["nth", "block"]).groupBy("row").agg(F.sum(words * F.col("uses")).alias("taken"))
+    # merged, not broadcast: a long document has far more parts than its row's size tells
+    taken = parts.join(uses.hint("merge"), ["nth", "block"]).groupBy("row").agg(F.sum(words * F.col("uses")).alias("taken"))
     return placed.join(taken, "row", "left").select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
+        "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(common.table(spark, sf_dir, "documents"))
+    return mix(common.table(spark, sf_dir, "documents")).drop("source")
 
 
 SQL = {"op4_mixing": f"""
