@@ -51,15 +51,17 @@ def keep_rows(docs: DataFrame, kept: DataFrame, digest: Column) -> DataFrame:
 
     NULL ids match NULL ids. Join and ranking use the same three keys, so the rows move once.
     """
-    key = ["_kept_id", "_kept_null", "_kept_digest"]
-    id_ = F.col("doc_id")
+    mark = "_kept"
+    while any(c.startswith(mark) for c in docs.columns):
+        mark = f"_{mark}"
+    key, nth, id_ = [f"{mark}_id", f"{mark}_null", f"{mark}_digest"], f"{mark}_nth", F.col("doc_id")
     left = docs.withColumns({key[0]: F.coalesce(id_, F.lit(0).cast("long")), key[1]: id_.isNull(), key[2]: digest})
     right = kept.select(F.coalesce(id_, F.lit(0).cast("long")).alias(key[0]), id_.isNull().alias(key[1]),
                         F.col("digest").alias(key[2])).distinct()
     plain = [f.name for f in docs.schema if isinstance(f.dataType, AtomicType) and f.name != "text"]
     first = Window.partitionBy(*key).orderBy(*[F.col(f"`{c}`") for c in plain])
-    joined = left.join(right, key, "left_semi").withColumn("_kept_nth", F.row_number().over(first))
-    return joined.where("_kept_nth = 1").drop(*key, "_kept_nth")
+    joined = left.join(right, key, "left_semi").withColumn(nth, F.row_number().over(first))
+    return joined.where(F.col(nth) == 1).drop(*key, nth)
 
 
 def crc_part(doc_id: Column, parts: int) -> Column:

@@ -12,7 +12,7 @@ stays; an empty table gives an empty table. Other columns are not looked at.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -95,7 +95,7 @@ def _chunks(text):
         lambda k: F.substring(text, k * CHUNK + 1, F.lit(CHUNK)))).alias("chunk_no", "chunk")
 
 
-def classes(docs: DataFrame) -> DataFrame:
+def classes(docs: DataFrame, printed: Callable[[DataFrame], DataFrame] = fingerprints) -> DataFrame:
     """doc_id, row (a row's own number), text_sha256, class columns print, bytes, other, keep_row,
     keep_id and group_size for every row.
 
@@ -104,7 +104,7 @@ def classes(docs: DataFrame) -> DataFrame:
     """
     key = ["print", "bytes"]
     prints = common.stored(
-        fingerprints(docs).withColumn("row", F.monotonically_increasing_id()), "prints")
+        printed(docs).withColumn("row", F.monotonically_increasing_id()), "prints")
     groups = prints.groupBy(*key).agg(
         F.max(F.struct("doc_id", "row", "text_sha256")).alias("leader"),
         F.count("*").alias("size")).where("size > 1")

@@ -85,9 +85,11 @@ def shingles(array: pa.Array, width: int) -> list[np.ndarray]:
 def sketches(sets: list[np.ndarray], t: int) -> np.ndarray:
     """Fast similarity sketches (sets x t). Sets must not be empty."""
     m = len(sets)
+    if not m:
+        return np.zeros((0, t), np.uint64)
     out = np.full(m * t, np.iinfo(np.uint64).max, np.uint64)
     sizes = np.array([len(s) for s in sets])
-    items = np.concatenate(sets) if m else np.zeros(0, np.uint64)
+    items = np.concatenate(sets)
     owner = np.repeat(np.arange(m), sizes)
     for i in range(2 * t):
         if not len(items):
