@@ -28,19 +28,19 @@ class Brute:
             self.types[b] += 1
         self.d = nm.discounts(Counter(self.pairs.values()))
         self.d_types = nm.discounts(Counter(self.types.values()))
+        self.total = sum(self.types.values())
+        often = Counter(min(k, 3) for k in self.types.values())
+        self.left = sum(self.d_types[i] * often[i + 1] for i in range(3)) / max(self.total, 1)
 
     @staticmethod
     def tokens(text):
         return re.findall(r"[^\x20\x09-\x0D]+", lower(text or "")) + [None]
 
     def low(self, w):
-        total = sum(self.types.values())
-        if not total:
+        if not self.total:
             return 1 / (self.v + 1)
-        often = Counter(min(k, 3) for k in self.types.values())
-        left = sum(self.d_types[i] * often[i + 1] for i in range(3)) / total
         k = self.types[w]
-        return max(k - (0, *self.d_types)[min(k, 3)], 0) / total + left / (self.v + 1)
+        return max(k - (0, *self.d_types)[min(k, 3)], 0) / self.total + self.left / (self.v + 1)
 
     def p(self, a, b):
         if not self.context[a]:
