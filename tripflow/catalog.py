@@ -149,7 +149,7 @@ def _as_doubles(df: DataFrame, *names: str) -> DataFrame:
 @query
 def clean_trips(spark: SparkSession, sf: str) -> DataFrame:
     return _as_doubles(
-        cleaning.clean_trips(X.raw_trips(spark, sf), X.THIS_YEAR), "birth_year", "gender")
+        cleaning.with_file_names(cleaning.clean_rows(X.raw_trips(spark, sf), X.THIS_YEAR)), "birth_year", "gender")
 
 
 @query
@@ -159,7 +159,7 @@ def dedupe_rides(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _loaded(spark: SparkSession, sf: str, keep=()) -> DataFrame:
-    cleaned = cleaning.clean_trips(X.raw_trips(spark, sf), X.THIS_YEAR)
+    cleaned = cleaning.with_file_names(cleaning.clean_rows(X.raw_trips(spark, sf), X.THIS_YEAR))
     stored = cleaned.withColumn("source_file", F.concat(F.lit("/clean/"), "source_file"))
     return cleaning.load_trips(stored, X.THIS_YEAR, keep)
 

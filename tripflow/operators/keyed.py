@@ -95,6 +95,18 @@ def ledger_entries(trips: DataFrame, loaded_at: Column) -> DataFrame:
         .withColumn("load_date", loaded_at)
 
 
+def ledger_of(files: DataFrame, counts: DataFrame | None, loaded_at: Column) -> DataFrame:
+    """An entry for every file (``source_file``), of 0 rows where ``counts`` (source_file, n) has none."""
+    names = files.select("source_file").distinct()
+    if counts is None:
+        rows = names.withColumn("records_loaded", F.lit(0).cast("bigint"))
+    else:
+        sums = counts.groupBy("source_file").agg(F.sum("n").alias("n"))
+        rows = names.join(sums, "source_file", "left").select(
+            "source_file", F.coalesce("n", F.lit(0)).alias("records_loaded"))
+    return rows.withColumn("load_date", loaded_at)
+
+
 def upsert_ledger(current: DataFrame, new: DataFrame) -> DataFrame:
     """Replace the entry of a file that is loaded again."""
     return anti_join(current, new, ["source_file"]).unionByName(new)

@@ -54,13 +54,16 @@ def append_trips(rows: DataFrame, path: str) -> None:
 
 
 def merge_trips(
-    spark: SparkSession, path: str, new: DataFrame, loaded_at: Column, order: list[str]
+    spark: SparkSession, path: str, new: DataFrame, loaded_at: Column, order: list[str],
+    months: list[str] | None = None,
 ) -> None:
     """Append the new trips that are not stored yet; reads only the months they fall in.
 
-    The months of the new rows are a short list (twelve a year), collected to name the folders.
+    The months of the new rows are a short list (twelve a year), collected to name the folders
+    unless the caller knows them.
     """
-    months = [r.year_month for r in new.select("year_month").distinct().collect()]
+    if months is None:
+        months = [r.year_month for r in new.select("year_month").distinct().collect()]
     stored = _read_or_empty(spark, path, schema.TRIPS).where(F.col("year_month").isin(months)) \
         .select(*schema.TRIP_KEY)
     fresh = keyed.insert_if_absent(stored, new.withColumn("load_timestamp", loaded_at), order)
