@@ -13,7 +13,6 @@ from tripflow.catalog import QUERIES
 from tripflow.functions.trips import year_month
 from tripflow.operators import usage
 from tripflow.plans import reports
-from tripflow.sources.files import spread
 from pyspark.sql import functions as F
 
 
@@ -71,14 +70,6 @@ def test_issue_totals_reuse_one_aggregation(spark):
     assert "ReusedExchange" in plan(df) or plan(df).count("FileScan") == 1
 
 
-def test_spread_leaves_a_scan_with_enough_tasks(spark, tmp_path):
-    spark.range(0, 100, 1, 8).write.parquet(str(tmp_path / "r"))
-    few = spark.read.parquet(f"{SF}/events.parquet")
-    assert spread(few, "event_id").rdd.getNumPartitions() == 4
-    many = spark.range(0, 100, 1, 8)
-    assert spread(many, "id") is many
-
-
 def test_reports_share_a_selection(spark):
     trips = X.trips(spark, SF)
     alone = reports.usage_report(trips, "1997-01-01", "1997-12-31")

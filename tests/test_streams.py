@@ -19,9 +19,9 @@ def sinks_under(root):
     return ingest.Sinks(f"{root}/bronze", f"{root}/metadata", f"{root}/quarantine", f"{root}/rejected")
 
 
-def run(spark, source, sinks, root):
+def run(spark, source, sinks, root, checkpoint="checkpoint", **more):
     ingest.ingest_stream(
-        E.file_events(spark, source, max_files=1), sinks, f"{root}/checkpoint", available_now=True
+        E.file_events(spark, source, max_files=1), sinks, f"{root}/{checkpoint}", available_now=True, **more
     ).awaitTermination()
 
 
@@ -54,11 +54,42 @@ def test_ingest_replay_and_batch_agree(spark, tmp_path):
     assert not [c for c in bronze.columns if c.startswith("_")]
     # a batch that is delivered again replaces its own rows
     bodies = spark.read.text(str(source / "2.json"))
-    ingest.write_batch(bodies, 1, sinks)
+    key = sorted(p.name for p in (tmp_path / "out" / "rejected").glob("batch=*"))[-1].split("=", 1)[1]
+    ingest.write_batch(bodies, key, sinks)
     assert spark.read.parquet(sinks.bronze).count() == len(VECTORS) - 4 + 1
     assert len(tables.read_metadata(spark, sinks.metadata).collect()) == len(stored)
 
 
+def test_a_new_checkpoint_adds_to_the_sinks(spark, tmp_path):
+    """Another query on the same sinks counts its batches from 0; nothing stored is lost or hidden."""
+    body = {k: v for k, v in VECTORS[0][1].items() if v is not None}
+    root = str(tmp_path / "out")
+    sinks = sinks_under(root)
+    for number, trips in enumerate((("a", "b"), ("c",), ("d",))):
+        source = tmp_path / f"in{number}"
+        source.mkdir()
+        for trip in trips:
+            (source / f"{trip}.json").write_text(
+                json.dumps({**body, "trip_id": trip, "ingested_at": "1999-01-01T00:00:00Z"}) + "\nno json")
+        run(spark, str(source), sinks, root, f"checkpoint{number}", fold_every=1)
+    stored = tables.read_metadata(spark, sinks.metadata).collect()
+    assert {r.trip_id for r in stored} == set("abcd") and spark.read.parquet(sinks.bronze).count() == 4
+    assert spark.read.parquet(sinks.rejected).count() == 4
+    assert all(r.ingested_at.year > 2000 for r in stored)   # stamped at the door, whatever the sender says
+
+
+def test_a_batch_moves_no_rows(spark):
+    scored = ingest.score_events(E.parse_bodies(spark.createDataFrame([("{}",)], "value string")))
+    assert "Exchange" not in scored._jdf.queryExecution().executedPlan().toString()
+
+
+def test_queued_bodies_keep_their_stamp(spark):
+    events = spark.createDataFrame([("2024-01-01T00:00:00Z",), ("",)], "ingested_at string")
+    now = F.lit("2025-01-01 00:00:00").cast("timestamp")
+    assert [r[0][:4] for r in E.stamp_ingest(events, now, queued=True).collect()] == ["2024", "2025"]
+    assert [r[0][:4] for r in E.stamp_ingest(events, now).collect()] == ["2025", "2025"]
+
+
 def test_events_take_defaults(spark):
     bodies = spark.createDataFrame([(json.dumps({
         "trip_id": "a", "bike_id": 101, "start_time": "s", "end_time": "e", "start_station_id": 1.5,
@@ -82,7 +113,7 @@ def test_quality_stream_judges_each_row_once(spark, tmp_path):
     events = X.trip_events(spark, SF)
     scored = ingest.coerced(score_stream(events, keep_parsed=True)).withColumn(
         "processed_at", F.col("processed_at").cast("timestamp_ntz"))
-    tables.write_bronze(scored, bronze, 0)
+    tables.write_bronze(scored, bronze, "r-0")
     stored = spark.read.parquet(bronze)
     at = F.lit("2024-02-01 10:00:00").cast("timestamp")
     for _ in range(2):

@@ -19,22 +19,45 @@ def metadata(spark, *items):
 
 
 def test_metadata_log_folds_and_replays(spark, tmp_path):
-    root = str(tmp_path)
+    root, key = str(tmp_path), tables.batch_key
     assert tables.read_metadata(spark, root).count() == 0
     first = metadata(spark, arrival("a", 1, 100, True, bike=7), arrival("b", 1, 90, True))
     second = metadata(spark, arrival("a", 2, 40, False, bike=8))
     third = metadata(spark, arrival("a", 3, 70, False, bike=9), arrival("c", 1, 80, True))
-    tables.append_metadata(first, root, 0)
-    tables.append_metadata(first, root, 0)   # the same batch again
-    tables.append_metadata(second, root, 1)
-    tables.fold_metadata(spark, root, 1)
-    tables.append_metadata(third, root, 2)
+    tables.append_metadata(first, root, key("r", 0))
+    tables.append_metadata(first, root, key("r", 0))   # the same batch again
+    tables.append_metadata(second, root, key("r", 1))
+    tables.fold_metadata(spark, root)
+    tables.append_metadata(third, root, key("r", 2))
     found = {r.trip_id: r for r in tables.read_metadata(spark, root).collect()}
     assert sorted(found) == ["a", "b", "c"]
     assert (found["a"].bike_id, found["a"].is_valid, int(found["a"].quality_score)) == (7, True, 70)
-    tables.fold_metadata(spark, root, 2)
-    assert rows(tables.read_metadata(spark, root)) == sorted(
-        (tuple(r) for r in found.values()), key=repr)
+    tables.fold_metadata(spark, root)
+    whole = sorted((tuple(r) for r in found.values()), key=repr)
+    assert rows(tables.read_metadata(spark, root)) == whole
+    # another run begins at batch 0 again, after a fold: nothing is hidden
+    tables.append_metadata(metadata(spark, arrival("d", 1, 60, True)), root, key("s", 0))
+    assert {r.trip_id for r in tables.read_metadata(spark, root).collect()} == set("abcd")
+    tables.fold_metadata(spark, root)
+    tables.fold_metadata(spark, root)
+    assert {r.trip_id for r in tables.read_metadata(spark, root).collect()} == set("abcd")
+    assert list((tmp_path / "arrivals").glob("batch=*")) == []
+
+
+def test_metadata_is_read_without_a_fold(spark, tmp_path):
+    root = str(tmp_path)
+    tables.append_metadata(metadata(spark, arrival("a", 1, 100, True), arrival("b", 1, 90, True)), root, "r-0")
+    tables.fold_metadata(spark, root)
+
+    def plan():
+        recent = tables.read_metadata(spark, root).where(F.col("processed_at") > F.lit(DAY))
+        return recent._jdf.queryExecution().executedPlan().toString()
+
+    quiet = plan()
+    assert "Aggregate" not in quiet and "Sort" not in quiet and "Exchange" not in quiet
+    assert "GreaterThan(processed_at" in quiet
+    tables.append_metadata(metadata(spark, arrival("a", 2, 40, False)), root, "r-1")
+    assert "GreaterThan(processed_at" in plan()
 
 
 def test_snapshots_are_versions(spark, tmp_path):
@@ -76,7 +99,7 @@ def test_bronze_look_back_and_quality_batch(spark, tmp_path):
             "rider_age": "25", "trip_duration": "1800", "bike_type": "classic",
             "ingested_at": "2024-01-15T10:31:00Z", "processed_at": "2024-01-15T10:31:05Z"}
     df = spark.createDataFrame([tuple(line.values())], ", ".join(f"{c} string" for c in line))
-    tables.write_bronze(df.withColumn("_start", F.lit("2024-01-15").cast("timestamp_ntz")), bronze, 0)
+    tables.write_bronze(df.withColumn("_start", F.lit("2024-01-15").cast("timestamp_ntz")), bronze, "r-0")
     written = spark.read.parquet(bronze).select("_metadata.file_modification_time").first()[0]
     assert {r.month for r in spark.read.parquet(bronze).select("month").collect()} == {"01"}
 

@@ -357,7 +357,7 @@ def ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
         f"{root}/bronze", f"{root}/metadata", f"{root}/quarantine", f"{root}/rejected")
     bodies = X.as_trip_events(_event_stream(spark, sf)).drop("processed_at").select(
         F.to_json(F.struct("*")).alias("value"))
-    ingest.ingest_stream(bodies, sinks, f"{root}/checkpoint", available_now=True) \
+    ingest.ingest_stream(bodies, sinks, f"{root}/checkpoint", available_now=True, queued=True) \
         .awaitTermination()
     return tables.read_metadata(spark, sinks.metadata).select(
         "trip_id", "bike_id", "start_time", "end_time", "rider_age", "trip_duration",

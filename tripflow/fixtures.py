@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from tripflow.operators.keyed import metadata_eligible, metadata_rows, quarantine
 from tripflow.operators.scoring import score_stream
-from tripflow.sources.files import spread
 
 THIS_YEAR = 2026
 
@@ -74,7 +73,7 @@ def as_trip_events(events: DataFrame) -> DataFrame:
 
 
 def trip_events(spark: SparkSession, sf: str) -> DataFrame:
-    return as_trip_events(spread(table(spark, sf, "events"), "event_id"))
+    return as_trip_events(table(spark, sf, "events").repartition("event_id"))
 
 
 def scored_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -170,7 +169,7 @@ RAW_ORDER = ["_order", "_line", "_part", "_supplier", "_price", "_shipped"]
 def raw_trips(spark: SparkSession, sf: str) -> DataFrame:
     """Monthly rows as they come from files: text under legacy headers, ride ids from 2000 on."""
     lines = table(spark, sf, "lineitem")
-    base = _trip_base(spread(lines, "l_orderkey", "l_linenumber"))
+    base = _trip_base(lines.repartition("l_orderkey", "l_linenumber"))
     line, flag = F.col("l_linenumber"), F.col("l_returnflag")
     modern = F.year("l_shipdate") >= 2000
     iso, us = "yyyy-MM-dd HH:mm:ss", "M/d/yyyy HH:mm:ss"

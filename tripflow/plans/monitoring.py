@@ -11,7 +11,7 @@ from tripflow.sources.tables import write_monitoring
 def run_monitoring(
     checks: DataFrame, metadata: DataFrame, as_of: Column, path: str
 ) -> tuple[DataFrame, DataFrame]:
-    """(metrics, alerts) of the moment, also written below ``path``."""
+    """(metrics, alerts) of the moment, also written below ``path``; the caller unpersists ``metrics``."""
     metrics = monitoring.observability_metrics(checks, metadata, as_of.cast("timestamp_ntz"))
     # one row: kept so that the last hour is read once for metrics and alerts
     metrics = metrics.persist()

@@ -14,8 +14,13 @@ from tripflow.sources.tables import write_quality_report, write_silver
 def judge_and_store(
     batch: DataFrame, silver: str, reports: str, as_of: Column | None = None
 ) -> None:
-    """Score a batch once, then write its valid rows and its report. An empty batch writes none."""
-    moment = F.current_timestamp() if as_of is None else as_of
+    """Score a batch once, then write its valid rows and its report. An empty batch writes none.
+
+    The moment is read once, so that both writes fall into one hour.
+    """
+    if as_of is None:
+        as_of = F.lit(batch.sparkSession.range(1).select(F.current_timestamp()).first()[0])
+    moment = as_of
     scored = score_batch(batch).persist()
     try:
         if scored.isEmpty():

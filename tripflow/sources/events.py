@@ -13,22 +13,22 @@ from tripflow.functions import parsing as P
 from tripflow.functions.once import compute_once
 
 
-def file_events(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+# bounds of a micro-batch, so that a backlog comes in pieces
+MAX_FILES = 1000
+MAX_OFFSETS = 1_000_000
+
+
+def file_events(spark: SparkSession, path: str, max_files: int = MAX_FILES) -> DataFrame:
     """Stream of JSON bodies, one per line, from files that arrive in a folder."""
-    reader = spark.readStream.format("text")
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(path)
+    return spark.readStream.format("text").option("maxFilesPerTrigger", max_files).load(path)
 
 
 def kafka_events(
-    spark: SparkSession, servers: str, topic: str, max_offsets: int | None = None
+    spark: SparkSession, servers: str, topic: str, max_offsets: int = MAX_OFFSETS
 ) -> DataFrame:
     """Stream of JSON bodies from a topic; needs the Kafka package on the class path."""
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers) \
-        .option("subscribe", topic)
-    if max_offsets:
-        reader = reader.option("maxOffsetsPerTrigger", max_offsets)
+        .option("subscribe", topic).option("maxOffsetsPerTrigger", max_offsets)
     return reader.load().select(F.col("value").cast("string").alias("value"))
 
 
@@ -61,11 +61,16 @@ def parse_events(bodies: DataFrame, column: str = "value") -> tuple[DataFrame, D
     return split_rejected(parse_bodies(bodies, column))
 
 
-def stamp_ingest(events: DataFrame, now: Column | None = None) -> DataFrame:
-    """Arrival time in UTC, as text like the other event fields."""
+def stamp_ingest(events: DataFrame, now: Column | None = None, queued: bool = False) -> DataFrame:
+    """Arrival time in UTC, as text like the other event fields.
+
+    At the door the stamp is always ours, whatever a sender wrote. ``queued`` bodies have passed the door
+    before: their stamp stays, and one is given only where it lacks.
+    """
     moment = F.current_timestamp() if now is None else now
     stamp = F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    return events.withColumn("ingested_at", F.coalesce(P.blank_to_null(F.col("ingested_at")), stamp))
+    own = F.coalesce(P.blank_to_null(F.col("ingested_at")), stamp) if queued else stamp
+    return events.withColumn("ingested_at", own)
 
 
 def read_bronze_since(
@@ -78,7 +83,8 @@ def read_bronze_since(
     Adds the file's path, size and time. Without a ``layout`` JSON files are all read once more to
     infer one; give it where the folder is large.
     """
-    reader = spark.read.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
+    # a file may be gone by now (compacted); a damaged one fails the read, it is never half read
+    reader = spark.read.option("ignoreMissingFiles", True)
     if form == "json":
         # a file may hold one event, or an array of events
         reader = reader.option("multiLine", True).option("mode", "PERMISSIVE")

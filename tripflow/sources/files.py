@@ -55,11 +55,7 @@ def first_lines(spark: SparkSession, paths: list[str], threads: int = 16) -> dic
         return dict(pool.map(read, paths))
 
 
-def spread(scan: DataFrame, *keys: str) -> DataFrame:
-    """Rows of a scan over all cores when it has fewer tasks than the cluster has cores.
-
-    Meant for parsing work behind a few files that do not split (one row group, a compressed
-    file). A scan with enough tasks, as every large one, is returned as it is, without a shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, *keys) if scan.rdd.getNumPartitions() < cores else scan
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds; none is no error."""
+    fs, target = _open(spark, path)
+    fs.delete(target, True)

@@ -111,55 +111,93 @@ ARRIVALS = T.StructType([
     *schema.TRIP_METADATA.fields,
     T.StructField("tie", T.LongType()), T.StructField("batch", T.StringType()),
 ])
-# batches arrive in turn; inside one the stamp of receipt decides, then the content
-ARRIVAL_ORDER = ["batch", "ingested_at", "tie"]
+# the stamp of receipt decides, then the batch (batches of a run arrive in turn), then the content
+ARRIVAL_ORDER = ["ingested_at", "batch", "tie"]
 
 
-def append_metadata(rows: DataFrame, root: str, batch: int) -> None:
+def batch_key(run: str, batch: int) -> str:
+    """Name of a micro-batch: the run (one for each checkpoint) and the number in it.
+
+    A number alone isn't enough: with a new checkpoint, or a second query on the same sinks, numbers
+    begin at 0 again.
+    """
+    return f"{run}-{batch:012d}"
+
+
+def append_metadata(rows: DataFrame, root: str, batch: str) -> None:
     """Store the arrivals of one batch; the same batch written again replaces itself.
 
     A stored table grows by what arrives: nothing already stored is read or rewritten here.
     """
     columns = schema.TRIP_METADATA.fieldNames()
     rows.select(
-        *columns, F.xxhash64(*columns).alias("tie"), F.lit(f"{batch:012d}").alias("batch"),
+        *columns, F.xxhash64(*columns).alias("tie"), F.lit(batch).alias("batch"),
     ).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy("batch").parquet(f"{root}/arrivals")
 
 
-def _metadata_parts(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    """Last fold, and the arrivals after it; version n holds all batches below n."""
-    folded_to = _latest(spark, f"{root}/folded")
-    arrivals = _read_or_empty(spark, f"{root}/arrivals", ARRIVALS)
-    if folded_to is None:
-        return spark.createDataFrame([], schema.TRIP_METADATA), arrivals
-    folded = spark.read.schema(schema.TRIP_METADATA).parquet(f"{root}/folded/v={folded_to}")
-    return folded, arrivals.where(F.col("batch") >= f"{folded_to:012d}")
+_BATCHES = T.StructType([T.StructField("batch", T.StringType())])
+
+
+def _folded_batches(spark: SparkSession, root: str) -> set[str]:
+    """Batches whose arrivals are in the last fold; a name for each batch since the fold before it."""
+    return {r.batch for r in read_snapshot(spark, f"{root}/folded_batches", _BATCHES).collect()}
+
+
+def _arrived(spark: SparkSession, root: str) -> list[str]:
+    """Batches with arrivals that the last fold doesn't hold."""
+    names = {f.split("=", 1)[1] for f in files.subfolders(spark, f"{root}/arrivals") if f.startswith("batch=")}
+    return sorted(names - _folded_batches(spark, root))
+
+
+def _metadata_parts(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame | None]:
+    """Last fold, and the arrivals after it, NULL where there are none."""
+    folded, arrived = read_snapshot(spark, f"{root}/folded", schema.TRIP_METADATA), _arrived(spark, root)
+    if not arrived:
+        return folded, None
+    return folded, spark.read.schema(ARRIVALS).parquet(f"{root}/arrivals").where(F.col("batch").isin(arrived))
 
 
 def read_metadata(spark: SparkSession, root: str, refresh_valid: bool = False) -> DataFrame:
-    """The metadata table: last fold plus the arrivals after it, one row per trip."""
+    """The metadata table: last fold plus the arrivals after it, one row per trip.
+
+    Only trips that have arrived since are folded again; all others come from the stored fold as they
+    are, so filters and columns reach its files, and nothing of it is sorted or aggregated.
+    """
     folded, arrivals = _metadata_parts(spark, root)
-    return keyed.upsert_metadata(folded, arrivals, ARRIVAL_ORDER, refresh_valid)
+    if arrivals is None:
+        return folded
+    ids = arrivals.select("trip_id").distinct()
+    again = folded.join(ids, "trip_id", "left_semi").select(*folded.columns)
+    changed = keyed.upsert_metadata(again, arrivals, ARRIVAL_ORDER, refresh_valid)
+    return keyed.anti_join(folded, ids, ["trip_id"]).unionByName(changed)
 
 
-def fold_metadata(spark: SparkSession, root: str, up_to_batch: int) -> None:
-    """Fold all arrivals up to a finished batch into the next stored version."""
-    folded, arrivals = _metadata_parts(spark, root)
-    done = arrivals.where(F.col("batch") <= f"{up_to_batch:012d}")
-    keyed.upsert_metadata(folded, done, ARRIVAL_ORDER) \
-        .write.mode("overwrite").parquet(f"{root}/folded/v={up_to_batch + 1}")
+def fold_metadata(spark: SparkSession, root: str) -> None:
+    """Fold all finished batches into the next stored version.
+
+    Call it between batches. Arrivals that the version before already held are removed now, not at
+    once, so that a reader of that version keeps its files.
+    """
+    for batch in sorted(_folded_batches(spark, root)):
+        files.remove(spark, f"{root}/arrivals/batch={batch}")
+    arrived = _arrived(spark, root)
+    if not arrived:
+        return
+    write_snapshot(spark, f"{root}/folded", read_metadata(spark, root))
+    write_snapshot(spark, f"{root}/folded_batches", spark.createDataFrame([(b,) for b in arrived], _BATCHES))
 
 
 # ---- bronze, silver, reports -----------------------------------------------------------------
 
 
-def write_bronze(rows: DataFrame, path: str, batch: int, form: str = "parquet") -> None:
-    """Scored events under year and month of their start; a batch written again replaces itself."""
+def write_bronze(rows: DataFrame, path: str, batch: str, form: str = "parquet") -> None:
+    """Scored events under year and month of their start; a batch (see :func:`batch_key`) written
+    again replaces itself."""
     start = F.col("_start")
     stored = rows.where(start.isNotNull()).withColumns({
         "year": F.date_format(start, "yyyy"), "month": F.date_format(start, "MM"),
-        "batch": F.lit(f"{batch:012d}"),
+        "batch": F.lit(batch),
     })
     stored.drop(*[c for c in stored.columns if c.startswith("_")]) \
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
@@ -180,7 +218,9 @@ def write_silver(
     checkpoint folder before they replace the hour.
     """
     new = _at(scored.where(F.col("is_valid_quality")), as_of)
-    latest = [F.desc(c) for c in order]
+    # a last tie-break by content, so that a repeated run keeps the same row
+    plain = [c for c, kind in new.dtypes if not kind.startswith(("array", "map", "struct"))]
+    latest = [*[F.desc(c) for c in order], F.xxhash64(*plain)]
     rows = keyed.first_per_key(new, ["date", "hour", "trip_id"], latest)
     if files.exists(spark, path):
         stored = spark.read.schema(rows.schema).parquet(path).where(

@@ -1,7 +1,7 @@
 """Event ingest: JSON bodies to scored bronze rows, metadata arrivals and rejected rows.
 
 Delivery is at least once from the source and once in the sinks: every sink keeps the rows of a
-micro-batch under its batch number and a repeated batch replaces them.
+micro-batch under its run (the query of a checkpoint) and number, and a repeated batch replaces them.
 """
 
 from __future__ import annotations
@@ -17,10 +17,11 @@ from tripflow.operators import keyed
 from tripflow.operators.scoring import score_stream
 from tripflow.sources import events as E
 from tripflow.sources import tables
-from tripflow.sources.files import spread
 
 # Wait of the poll loop between flushes.
 FLUSH_EVERY = "5 seconds"
+#: batches between two folds of the metadata: every ten minutes
+FOLD_EVERY = 120
 
 
 @dataclass(frozen=True)
@@ -45,9 +46,9 @@ def coerced(scored: DataFrame) -> DataFrame:
     })
 
 
-def score_events(parsed: DataFrame, now: Column | None = None) -> DataFrame:
+def score_events(parsed: DataFrame, now: Column | None = None, queued: bool = False) -> DataFrame:
     """Arrival stamp, score and processing time; helper columns of the parser stay on the rows."""
-    stamped = E.stamp_ingest(parsed, now)
+    stamped = E.stamp_ingest(parsed, now, queued)
     moment = F.current_timestamp() if now is None else now
     return score_stream(stamped, keep_parsed=True) \
         .withColumn("processed_at", moment.cast("timestamp_ntz"))
@@ -59,9 +60,9 @@ def split_events(scored: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return coerced(kept), keyed.metadata_eligible(keyed.metadata_rows(kept)), poison
 
 
-def write_batch(bodies: DataFrame, batch: int, sinks: Sinks) -> None:
-    """Write one micro-batch to all sinks; parsed and scored once for all of them."""
-    scored = score_events(E.parse_bodies(spread(bodies, "value"))).persist()
+def write_batch(bodies: DataFrame, batch: str, sinks: Sinks, queued: bool = False) -> None:
+    """Write one micro-batch to all sinks; parsed and scored once for all of them, without a shuffle."""
+    scored = score_events(E.parse_bodies(bodies), queued=queued).persist()
     try:
         events, rejected = E.split_rejected(scored)
         bronze, metadata, poison = split_events(events)
@@ -74,17 +75,29 @@ def write_batch(bodies: DataFrame, batch: int, sinks: Sinks) -> None:
         scored.unpersist()
 
 
-def _write_aside(rows: DataFrame, path: str, batch: int) -> None:
-    rows.withColumn("batch", F.lit(f"{batch:012d}")).write.mode("overwrite") \
+def _write_aside(rows: DataFrame, path: str, batch: str) -> None:
+    rows.withColumn("batch", F.lit(batch)).write.mode("overwrite") \
         .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
 
 
 def ingest_stream(
-    bodies: DataFrame, sinks: Sinks, checkpoint: str, available_now: bool = False
+    bodies: DataFrame, sinks: Sinks, checkpoint: str, available_now: bool = False,
+    queued: bool = False, fold_every: int | None = FOLD_EVERY,
 ) -> StreamingQuery:
-    """Run the ingest over a stream of JSON bodies (see ``sources.events``)."""
-    writer = bodies.writeStream.option("checkpointLocation", checkpoint) \
-        .foreachBatch(lambda df, batch: write_batch(df, batch, sinks))
+    """Run the ingest over a stream of JSON bodies (see ``sources.events``).
+
+    The metadata is folded before every ``fold_every``-th batch, so that a read never finds more than so
+    many batches of arrivals.
+    """
+    def run(df: DataFrame, number: int) -> None:
+        spark = df.sparkSession
+        # the id of the checkpoint's query: it outlives restarts, and a new checkpoint has another
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+        if fold_every and number and number % fold_every == 0:
+            tables.fold_metadata(spark, sinks.metadata)
+        write_batch(df, tables.batch_key(query, number), sinks, queued)
+
+    writer = bodies.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
     if available_now:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=FLUSH_EVERY).start()
