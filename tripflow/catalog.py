@@ -15,11 +15,14 @@ from pyspark.sql import functions as F
 
 from tripflow import fixtures as X
 from tripflow import schema
+from tripflow.functions import quality as Q
 from tripflow.functions import trips as C
 from tripflow.operators import cleaning, keyed, monitoring, quality, scoring, sets, usage
+from tripflow.plans import load as load_jobs
+from tripflow.plans.quality_batch import judge_and_store
 from tripflow.session import ensure_checkpoint_dir
 from tripflow.sources import archives, tables
-from tripflow.sources.raw import files_to_clean
+from tripflow.sources.raw import files_to_clean, write_clean
 from tripflow.streaming import ingest, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -364,12 +367,129 @@ def ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
         "member_casual", "quality_score", "quality_issues", "is_valid", "ingested_at")
 
 
+def _windows(spark: SparkSession, sf: str, make) -> DataFrame:
+    """All windows over all events, the last ones included, as the stream leaves them."""
+    root = _scratch(spark)
+    scored = scoring.score_stream(X.as_trip_events(_event_stream(spark, sf)))
+    windows.store_windows(make(scored), f"{root}/windows", f"{root}/checkpoint", available_now=True).awaitTermination()
+    return windows.read_windows(spark, f"{root}/windows")
+
+
 @query
 def hourly_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Windows closed by the watermark over all events, as the stream appends them."""
+    return _windows(spark, sf, windows.hourly_stream)
+
+
+@query
+def daily_stream(spark: SparkSession, sf: str) -> DataFrame:
+    return _windows(spark, sf, windows.daily_stream)
+
+
+# ---- what the writers leave in their tables --------------------------------------------------
+
+
+@query
+def metadata_after_fold(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs whose batches have one number, with a fold between them."""
+    root, half = _scratch(spark), _at("2024-01-16")
+    rows = X.resent_metadata(spark, sf)
+    tables.append_metadata(rows.where(F.col("processed_at") < half), root, tables.batch_key("a", 0))
+    tables.fold_metadata(spark, root)
+    tables.append_metadata(rows.where(F.col("processed_at") >= half), root, tables.batch_key("b", 0))
+    return tables.read_metadata(spark, root).select(
+        "trip_id", "bike_id", "start_time", "trip_duration", "bike_type", "member_casual",
+        "is_valid", "quality_score", "quality_issues", "processed_at")
+
+
+def _sinks(spark: SparkSession, sf: str) -> ingest.Sinks:
+    """The sinks after one batch of all events; those of classic bikes come without their bike type."""
     root = _scratch(spark)
-    scored = scoring.score_stream(X.as_trip_events(_event_stream(spark, sf)))
-    windows.hourly_stream(scored).writeStream.outputMode("append").format("parquet") \
-        .option("path", f"{root}/hours").option("checkpointLocation", f"{root}/checkpoint") \
-        .trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{root}/hours")
+    sinks = ingest.Sinks(f"{root}/bronze", f"{root}/metadata", f"{root}/quarantine", f"{root}/rejected")
+    events = X.trip_events(spark, sf).drop("processed_at").withColumn(
+        "bike_type", F.when(F.col("bike_type") != "classic", F.col("bike_type")))
+    bodies = events.select(F.to_json(F.struct("*")).alias("value"))
+    for _ in range(2):
+        ingest.write_batch(bodies, tables.batch_key("run", 0), sinks, queued=True)
+    return sinks
+
+
+@query
+def bronze_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.read_table(spark, _sinks(spark, sf).bronze, "bronze").select(
+        "trip_id", "quality_score", "quality_issues", "is_valid")
+
+
+@query
+def rejected_rows(spark: SparkSession, sf: str) -> DataFrame:
+    rejected = spark.read.parquet(_sinks(spark, sf).rejected)
+    return rejected.select(F.get_json_object("body", "$.trip_id").alias("trip_id"))
+
+
+def _judged(spark: SparkSession, sf: str) -> str:
+    """Silver and reports of a look-back over all events, run twice."""
+    root = _scratch(spark)
+    for _ in range(2):
+        judge_and_store(X.trip_events(spark, sf), f"{root}/silver", f"{root}/reports",
+                        F.lit("2024-02-01 10:00:00").cast("timestamp"))
+    return root
+
+
+@query
+def silver_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(f"{_judged(spark, sf)}/silver").select(
+        "trip_id", F.col("quality_score").cast("bigint").alias("quality_score"), "quality_issues")
+
+
+@query
+def quality_report_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(f"{_judged(spark, sf)}/reports").select(
+        "quality_bands.*", "total_records", "valid_records", "invalid_records", "date", "hour")
+
+
+@query
+def monitoring_rows(spark: SparkSession, sf: str) -> DataFrame:
+    root, metrics = _scratch(spark), _metrics(spark, sf)
+    tables.write_monitoring(metrics, monitoring.alerts(metrics), root, F.lit("2024-02-01 10:07:00").cast("timestamp"))
+    stored = spark.read.parquet(f"{root}/system_metrics").select("date", "hour", "minute", "total_trips_last_hour")
+    return stored.join(spark.read.parquet(f"{root}/alerts").select("minute", "alert_count"), "minute", "left")
+
+
+@query
+def issues_json(spark: SparkSession, sf: str) -> DataFrame:
+    rows = scoring.score_batch(X.trip_events(spark, sf))
+    return rows.select("trip_id", Q.issues_json(F.col("quality_issues")).alias("issues"))
+
+
+@query
+def union_all(spark: SparkSession, sf: str) -> DataFrame:
+    customers = X.table(spark, sf, "customer").select(
+        F.col("c_name").alias("name"), F.col("c_nationkey").cast("bigint").alias("nation"))
+    parts = X.table(spark, sf, "part").select(F.col("p_name").alias("name"))
+    return sets.union_all([customers, parts])
+
+
+def _house(spark: SparkSession, sf: str) -> load_jobs.Warehouse:
+    """The warehouse after the clean files were loaded, cleaned and loaded again with a lost ledger."""
+    root = _scratch(spark)
+    house = load_jobs.Warehouse(f"{root}/house")
+    rows = cleaning.with_file_names(cleaning.clean_rows(X.raw_trips(spark, sf), X.THIS_YEAR))
+    for _ in range(2):
+        write_clean(rows, f"{root}/clean")
+        load_jobs.load(spark, f"{root}/clean", house, X.THIS_YEAR, _at("2026-01-01"))
+        held = tables.read_snapshot(spark, house.ledger, schema.LEDGER)
+        tables.write_snapshot(spark, f"{root}/seen", held)
+        tables.write_snapshot(spark, house.ledger, spark.createDataFrame([], schema.LEDGER))
+    tables.write_snapshot(spark, house.ledger, tables.read_snapshot(spark, f"{root}/seen", schema.LEDGER))
+    return house
+
+
+@query
+def load_trips_run(spark: SparkSession, sf: str) -> DataFrame:
+    trips = spark.read.parquet(_house(spark, sf).trips)
+    return trips.groupBy("year_month").agg(F.count("*").alias("trips"), F.countDistinct("ride_id").alias("rides"))
+
+
+@query
+def ledger_run(spark: SparkSession, sf: str) -> DataFrame:
+    ledger = tables.read_snapshot(spark, _house(spark, sf).ledger, schema.LEDGER)
+    return ledger.select(F.substring_index("source_file", "=", -1).alias("source_file"), "records_loaded", "load_date")

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tripflow.functions import quality as Q
 
@@ -29,3 +30,26 @@ def hourly_stream(scored: DataFrame, delay: str = "10 minutes") -> DataFrame:
 
 def daily_stream(scored: DataFrame, delay: str = "10 minutes") -> DataFrame:
     return windowed_stats(scored, "1 day", delay).withColumnRenamed("hour", "date")
+
+
+def store_windows(stats: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Store every window that a micro-batch changes, open ones too; a repeated batch replaces itself.
+
+    Only windows that the watermark leaves open stay in the state.
+    """
+    def run(changed: DataFrame, batch: int) -> None:
+        changed.withColumn("batch", F.lit(f"{batch:012d}")).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+
+    writer = stats.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(run)
+    if available_now:
+        return writer.trigger(availableNow=True).start()
+    return writer.start()
+
+
+def read_windows(spark: SparkSession, path: str) -> DataFrame:
+    """The last stored state of every window (its column is the first one)."""
+    rows = spark.read.parquet(path)
+    key = rows.columns[0]
+    others = [c for c in rows.columns if c not in (key, "batch")]
+    return rows.groupBy(key).agg(F.max_by(F.struct(*others), "batch").alias("last")).select(key, "last.*")
