@@ -576,6 +576,10 @@ LISTINGS = {
 
 
 PLAIN = {
+    "extract_run": """
+      SELECT o_orderkey AS order_key,
+        o_custkey::VARCHAR || CASE WHEN o_orderkey % 5 = 0 THEN chr(10) || o_orderpriority ELSE '' END AS station,
+        o_orderstatus AS usertype, strftime(o_orderdate, '%Y%m') AS month FROM orders""",
     "union_all": """
       SELECT c_name AS name, c_nationkey::BIGINT AS nation FROM customer
       UNION ALL SELECT p_name, NULL FROM part""",

@@ -493,3 +493,17 @@ def load_trips_run(spark: SparkSession, sf: str) -> DataFrame:
 def ledger_run(spark: SparkSession, sf: str) -> DataFrame:
     ledger = tables.read_snapshot(spark, _house(spark, sf).ledger, schema.LEDGER)
     return ledger.select(F.substring_index("source_file", "=", -1).alias("source_file"), "records_loaded", "load_date")
+
+
+@query
+def extract_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of the archives of all orders, extracted in two runs that share their header."""
+    root = _scratch(spark)
+    X.write_archives(spark, sf, f"{root}/zips")
+    names = archives.list_entries(spark, f"{root}/zips").select("name", F.lit(1).cast("bigint").alias("size"))
+    early = F.col("name") < "1996"
+    load_jobs.extract(spark, f"{root}/zips", f"{root}/text", names.where(early))
+    load_jobs.extract(spark, f"{root}/zips", f"{root}/text", names.where(~early))
+    return archives.read_extracted(spark, f"{root}/text").select(
+        F.col("bikeid").cast("bigint").alias("order_key"), F.col("start_station_name").alias("station"),
+        "usertype", F.substring("source_file", 1, 6).alias("month"))

@@ -7,6 +7,12 @@ that every check of the library has something to find. No row is left out.
 
 from __future__ import annotations
 
+import csv
+import io
+import zipfile
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -246,3 +252,38 @@ def local_archives(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_orderpriority").isin("1-URGENT", "5-LOW"))
     size = F.floor("o_totalprice").cast("bigint") - F.col("o_custkey") % 2
     return held.select(_archive_name().alias("name"), size.alias("size"))
+
+
+def _zip_orders(folder: str):
+    """A zip of the CSV lines of a group of orders, written to the folder."""
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        month, part = group["month"].iloc[0], int(group["part"].iloc[0])
+        lines = io.StringIO()
+        writer = csv.writer(lines, lineterminator="\n")
+        writer.writerow(["bikeid", "start station name", "usertype"])
+        writer.writerows(group[["o_orderkey", "station", "o_orderstatus"]].itertuples(index=False))
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+            archive.writestr(f"{month}-{part}.csv", lines.getvalue())
+        name = f"{folder}/{month}-{part}.zip"
+        store, path = fs.FileSystem.from_uri(name if ":" in name else f"file://{name}")
+        store.create_dir(path.rpartition("/")[0], recursive=True)
+        with store.open_output_stream(path) as out:
+            out.write(packed.getvalue())
+        return pd.DataFrame({"archive": [name]})
+
+    return run
+
+
+def write_archives(spark: SparkSession, sf: str, folder: str) -> None:
+    """Zip archives of the orders: one for each month and range of order keys.
+
+    Station names hold a line break in every fifth order.
+    """
+    orders = table(spark, sf, "orders").select(
+        F.date_format("o_orderdate", "yyyyMM").alias("month"), F.floor(F.col("o_orderkey") / 100_000).alias("part"),
+        "o_orderkey", "o_orderstatus", F.when(F.col("o_orderkey") % 5 == 0, F.concat(
+            F.col("o_custkey").cast("string"), F.lit("\n"), "o_orderpriority")).otherwise(
+                F.col("o_custkey").cast("string")).alias("station"))
+    orders.groupBy("month", "part").applyInPandas(_zip_orders(folder), "archive string") \
+        .write.format("noop").mode("overwrite").save()
