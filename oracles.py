@@ -206,6 +206,31 @@ QUALITY = {
         COUNT(*) FILTER (WHERE score >= 50) AS valid_count,
         COUNT(*) FILTER (WHERE score < 50) AS invalid_count
       FROM stream GROUP BY 1""",
+    "score_stream_damaged": """
+      , damaged AS (
+        SELECT trip_id, p10, p14,
+          event_id % 19 = 0 AS x, event_id % 13 = 0 AS a, event_id % 17 = 0 AS b, p1, p4, p5, p6, p8, p9, p11, p12, p13,
+          d, start_station, end_station FROM points),
+      kept AS (
+        SELECT trip_id, p10, p14, CASE WHEN x THEN 20 ELSE 0 END AS p7, p8, p9, p11, p12,
+          CASE WHEN a AND NOT x THEN 10 ELSE 0 END AS p2, CASE WHEN b AND NOT x THEN 10 ELSE 0 END AS p3,
+          CASE WHEN d < 300 AND (a AND b OR NOT a AND NOT b AND start_station = end_station)
+            THEN 5 ELSE 0 END AS p13,
+          CASE WHEN x THEN 0 ELSE p1 END AS p1, CASE WHEN x THEN 0 ELSE p4 END AS p4,
+          CASE WHEN x THEN 0 ELSE p5 END AS p5, CASE WHEN x THEN 0 ELSE p6 END AS p6
+        FROM damaged),
+      total AS (
+        SELECT *, greatest(0, 100 - p1 - p2 - p3 - p4 - p5 - p6 - p7 - p8 - p9 - p10 - p11 - p12 - p13 - p14)
+          AS points_left FROM kept)
+      SELECT trip_id, points_left::BIGINT AS quality_score, points_left >= 50 AS is_valid, concat_ws(',',
+          CASE WHEN p1 > 0 THEN 'invalid_bike_id' END, CASE WHEN p2 > 0 THEN 'invalid_start_station' END,
+          CASE WHEN p3 > 0 THEN 'invalid_end_station' END, CASE WHEN p4 > 0 THEN 'invalid_rider_age' END,
+          CASE WHEN p5 > 0 THEN 'invalid_trip_duration' END, CASE WHEN p6 > 0 THEN 'invalid_member_type' END,
+          CASE WHEN p7 > 0 THEN 'type_conversion_error' END, CASE WHEN p8 > 0 THEN 'duration_mismatch' END,
+          CASE WHEN p9 > 0 THEN 'time_parsing_error' END, CASE WHEN p10 > 0 THEN 'invalid_time_sequence' END,
+          CASE WHEN p11 > 0 THEN 'excessive_duration' END, CASE WHEN p12 > 0 THEN 'suspicious_age' END,
+          CASE WHEN p13 > 0 THEN 'same_station_short_trip' END, CASE WHEN p14 > 0 THEN 'invalid_bike_type' END)
+          AS quality_issues FROM total""",
     "bronze_rows": """
       SELECT trip_id, score::BIGINT AS quality_score, issues AS quality_issues,
         score >= 50 AS is_valid FROM stream
@@ -229,6 +254,35 @@ BANDS = """CASE WHEN bscore >= 90 THEN 'EXCELLENT' WHEN bscore >= 75 THEN 'GOOD'
   WHEN bscore >= 60 THEN 'FAIR' ELSE 'POOR' END"""
 
 JUDGED = {
+    "score_batch_missing": """
+      , lost AS (
+        SELECT *, event_id % 13 = 0 AS m2, event_id % 17 = 0 AS m3, event_id % 19 = 0 AS m4,
+          event_id % 23 = 0 AS m5, event_id % 11 = 0 AS m6, event_id % 7 = 0 AS m7 FROM judged),
+      found AS (
+        SELECT *, m3 OR m4 AS no_times,
+          NOT m3 AND s IS NULL OR (NOT m3 AND NOT m4 AND s IS NOT NULL AND s_naive) AS bad_times FROM lost),
+      again2 AS (
+        SELECT *,
+          CASE WHEN NOT no_times THEN q2 ELSE 0 END AS r2,
+          CASE WHEN NOT no_times AND NOT m7 THEN q3 ELSE 0 END AS r3,
+          CASE WHEN bad_times OR (no_d = 1 AND NOT m7) THEN 25 ELSE 0 END AS r4,
+          CASE WHEN NOT m7 THEN q7 ELSE 0 END AS r7,
+          CASE WHEN NOT m7 AND d > 3600 AND (m5 AND m6 OR NOT m5 AND NOT m6 AND start_station = end_station)
+            THEN 5 ELSE 0 END AS r8,
+          CASE WHEN NOT m7 THEN q9 ELSE 0 END AS r9
+        FROM found),
+      total AS (
+        SELECT *, greatest(0, 100 - 10 * (m2::INT + m3::INT + m4::INT + m5::INT + m6::INT + m7::INT)
+          - q1 - r2 - r3 - r4 - q5 - q6 - r7 - r8 - r9) AS rscore FROM again2)
+      SELECT trip_id, rscore::BIGINT AS quality_score, rscore >= 60 AS is_valid_quality,
+        concat_ws(',', CASE WHEN m2 THEN 'missing_bike_id' END, CASE WHEN m3 THEN 'missing_start_time' END,
+          CASE WHEN m4 THEN 'missing_end_time' END, CASE WHEN m5 THEN 'missing_start_station_id' END,
+          CASE WHEN m6 THEN 'missing_end_station_id' END, CASE WHEN m7 THEN 'missing_trip_duration' END,
+          CASE WHEN q1 > 0 THEN 'missing_bike_type' END, CASE WHEN r2 > 0 THEN 'invalid_time_sequence' END,
+          CASE WHEN r3 > 0 THEN 'duration_mismatch' END, CASE WHEN r4 > 0 THEN 'time_parsing_error' END,
+          CASE WHEN q5 > 0 THEN 'invalid_age' END, CASE WHEN q6 > 0 THEN 'invalid_age_format' END,
+          CASE WHEN r7 > 0 THEN 'invalid_duration' END, CASE WHEN r8 > 0 THEN 'same_station_long_duration' END,
+          CASE WHEN r9 > 0 THEN 'duration_calculation_error' END) AS quality_issues FROM total""",
     "silver_rows": """
       SELECT trip_id, bscore::BIGINT AS quality_score, bissues AS quality_issues FROM batch
       WHERE bscore >= 60""",
@@ -301,6 +355,12 @@ fired AS (
 """
 
 MONITORING = {
+    "alerts_all": """
+      SELECT type, severity, value FROM fired WHERE type IN ('system_degraded', 'sqs_backlog')
+      UNION ALL SELECT 'api_down', 'high', NULL
+      UNION ALL SELECT 'low_data_quality', 'medium', avg_quality_score / 2 FROM metrics WHERE avg_quality_score / 2 < 70
+      UNION ALL SELECT 'high_invalid_data', 'medium', (total_trips_last_hour // 2)::DOUBLE / total_trips_last_hour
+        FROM metrics WHERE total_trips_last_hour > 0""",
     "monitoring_rows": """
       SELECT '2024-02-01' AS date, '10' AS hour, '1007' AS minute, total_trips_last_hour,
         (SELECT nullif(COUNT(*), 0) FROM fired) AS alert_count FROM metrics""",

@@ -507,3 +507,38 @@ def extract_run(spark: SparkSession, sf: str) -> DataFrame:
     return archives.read_extracted(spark, f"{root}/text").select(
         F.col("bikeid").cast("bigint").alias("order_key"), F.col("start_station_name").alias("station"),
         "usertype", F.substring("source_file", 1, 6).alias("month"))
+
+
+# ---- rules that the plain tables never break ---------------------------------------------------
+
+
+@query
+def score_stream_damaged(spark: SparkSession, sf: str) -> DataFrame:
+    """Events with unreadable stations, and with an infinite bike id, behind which nothing is converted."""
+    events = X.trip_events(spark, sf)
+    n = F.substring_index("trip_id", "_", -1).cast("bigint")
+    return scoring.score_stream(events.withColumns({
+        "start_station_id": F.when(n % 13 == 0, "abc").otherwise(F.col("start_station_id")),
+        "end_station_id": F.when(n % 17 == 0, "abc").otherwise(F.col("end_station_id")),
+        "bike_id": F.when(n % 19 == 0, "inf").otherwise(F.col("bike_id")),
+    })).select("trip_id", "quality_score", "quality_issues", "is_valid")
+
+
+@query
+def score_batch_missing(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored trips in which every required field is missing now and then."""
+    events = X.trip_events(spark, sf)
+    n = F.substring_index("trip_id", "_", -1).cast("bigint")
+    gone = {"bike_id": 13, "start_time": 17, "end_time": 19, "start_station_id": 23, "end_station_id": 11, "trip_duration": 7}
+    damaged = events.withColumns({c: F.when(n % k != 0, F.col(c)) for c, k in gone.items()})
+    return scoring.score_batch(damaged).select("trip_id", "quality_score", "quality_issues", "is_valid_quality")
+
+
+@query
+def alerts_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Alerts of metrics made worse: API down, half of the trips valid, low scores."""
+    worse = _metrics(spark, sf).withColumns({
+        "api_status": F.lit("unhealthy"), "avg_quality_score": F.col("avg_quality_score") / 2,
+        "valid_trips_last_hour": F.floor(F.col("total_trips_last_hour") / 2).cast("bigint"),
+    })
+    return monitoring.alerts(worse).select("type", "severity", "value")
