@@ -557,6 +557,8 @@ CLEAN_COLUMNS = """ride_id, rideable_type, started_at, ended_at, start_station_i
   member_casual, tripduration_seconds, bikeid, usertype, birth_year, gender, source_file"""
 
 CLEANING = {
+    "read_clean_rows": """
+      SELECT source_file, COUNT(*) AS n, min(started_at) AS first, max(ended_at) AS last FROM clean GROUP BY 1""",
     "load_trips_run": """
       , keys AS (SELECT DISTINCT source_file, strftime(started_at, '%Y-%m-%d %H:%M:%S') AS s,
           strftime(ended_at, '%Y-%m-%d %H:%M:%S') AS e, coalesce(bikeid, '') AS b,
@@ -655,4 +657,6 @@ def sql() -> dict[str, str]:
         name: f"WITH {prefix.strip()} {text.strip()}"
         for prefix, queries in groups for name, text in queries.items()
     }
-    return found | PLAIN | {"metadata_after_fold": found["upsert_metadata"]}
+    same = {"metadata_after_fold": "upsert_metadata", "bronze_since_rows": "bronze_rows",
+            "quality_stream_rows": "silver_rows"}
+    return found | PLAIN | {name: found[other] for name, other in same.items()}

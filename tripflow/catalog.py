@@ -22,8 +22,10 @@ from tripflow.plans import load as load_jobs
 from tripflow.plans.quality_batch import judge_and_store
 from tripflow.session import ensure_checkpoint_dir
 from tripflow.sources import archives, tables
-from tripflow.sources.raw import files_to_clean, write_clean
+from tripflow.sources.events import read_bronze_since
+from tripflow.sources.raw import files_to_clean, read_clean, write_clean
 from tripflow.streaming import ingest, windows
+from tripflow.streaming import quality as look_back
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -542,3 +544,36 @@ def alerts_all(spark: SparkSession, sf: str) -> DataFrame:
         "valid_trips_last_hour": F.floor(F.col("total_trips_last_hour") / 2).cast("bigint"),
     })
     return monitoring.alerts(worse).select("type", "severity", "value")
+
+
+# ---- readers -----------------------------------------------------------------------------------
+
+
+@query
+def bronze_since_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored events of files written in the last hour."""
+    return read_bronze_since(spark, _sinks(spark, sf).bronze, F.current_timestamp(), 60).select(
+        "trip_id", "quality_score", "quality_issues", "is_valid")
+
+
+@query
+def quality_stream_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver of the look-back as a stream, started twice over the same stored events."""
+    root = _scratch(spark)
+    X.trip_events(spark, sf).write.parquet(f"{root}/bronze")
+    layout = spark.read.parquet(f"{root}/bronze").schema
+    for _ in range(2):
+        look_back.quality_stream(
+            look_back.bronze_stream(spark, f"{root}/bronze", layout), f"{root}/silver", f"{root}/reports",
+            f"{root}/checkpoint", as_of=F.lit("2024-02-01 10:00:00").cast("timestamp")).awaitTermination()
+    return tables.read_table(spark, f"{root}/silver").select(
+        "trip_id", F.col("quality_score").cast("bigint").alias("quality_score"), "quality_issues")
+
+
+@query
+def read_clean_rows(spark: SparkSession, sf: str) -> DataFrame:
+    root = _scratch(spark)
+    write_clean(cleaning.with_file_names(cleaning.clean_rows(X.raw_trips(spark, sf), X.THIS_YEAR)), root)
+    name = F.regexp_extract("source_file", "source_file=([^/]+)/", 1)
+    return read_clean(spark, root).groupBy(name.alias("source_file")).agg(
+        F.count("*").alias("n"), F.min("started_at").alias("first"), F.max("ended_at").alias("last"))
