@@ -27,7 +27,7 @@ SHARE = 1.5
 CAP = 2.0
 BLOCK_WORDS = 32
 #: documents of a source in one window, about
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 #: consecutive slots in one window at most, as a power of two
 CHUNK_BITS = 15
 #: slots made by one task
