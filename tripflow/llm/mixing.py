@@ -20,6 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tripflow.functions.once import compute_once
 from tripflow.llm import common
 
 WEIGHTS = (3, 1, 2)
@@ -109,9 +110,10 @@ def schedule(spark: SparkSession, sources: DataFrame, block: int = BLOCK_WORDS)
     tops = (n_low.bitwiseAND(F.lit(mask31)) * high).bitwiseAND(F.lit((1 << 31) - 1)) + (
         n_high * low).bitwiseAND(F.lit(mask31)) + F.shiftright(lows, 31)
     unit = tops.bitwiseAND(F.lit(mask31)) * float(2 ** -31) + lows.bitwiseAND(F.lit(mask31)) * float(2 ** -62)
-    place = unit * total
-    nth = F.size(F.filter("upto", lambda u: u <= place))
-    points = points.select("chunk", "slot", F.least(nth, F.size("upto") - 1).alias("nth"))
+    # the point once per slot, not once per bound; the slots once for their counts and their ranks
+    points = compute_once(points, {"place": unit * total})
+    nth = F.size(F.filter("upto", lambda u: u <= F.col("place")))
+    points = common.stored(points.select("chunk", "slot", F.least(nth, F.size("upto") - 1).alias("nth")), "slots")
     counts = points.groupBy("nth", "chunk").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("nth").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select(F.col("nth").alias("at_nth"), F.col("chunk").alias("at_chunk"),
