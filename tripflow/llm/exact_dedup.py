@@ -105,9 +105,11 @@ def classes(docs: DataFrame, printed: Callable[[DataFrame], DataFrame] = fingerp
     key = ["print", "bytes"]
     prints = common.stored(
         printed(docs).withColumn("row", F.monotonically_increasing_id()), "prints")
-    groups = prints.groupBy(*key).agg(
+    # groups and their leaders are written, so that a join with them has two plain sides, of which the runtime
+    # can send the small one to all tasks or split a hot key
+    groups = common.stored(prints.groupBy(*key).agg(
         F.max(F.struct("doc_id", "row", "text_sha256")).alias("leader"),
-        F.count("*").alias("size")).where("size > 1")
+        F.count("*").alias("size")).where("size > 1"), "groups")
     leads = F.expr("doc_id <=> leader.doc_id AND text_sha256 = leader.text_sha256")
     members = prints.join(groups, key).select(
         "doc_id", "text_sha256", *key, "size", leads.alias("leads")).distinct()
@@ -123,14 +125,19 @@ def classes(docs: DataFrame, printed: Callable[[DataFrame], DataFrame] = fingerp
     unlike = whole.join(first, [*key, "salt", "chunk_no"], "left").where(
         ~F.col("chunk").eqNullSafe(F.col("leader_chunk"))).select(
             F.col("doc_id").alias("id"), F.col("text_sha256").alias("digest")).distinct()
-    told = prints.join(unlike, F.expr("id <=> doc_id AND digest = text_sha256"), "left")
+    told = prints.join(groups.select(*key, "size"), key, "left").join(
+        unlike, F.expr("id <=> doc_id AND digest = text_sha256"), "left")
     told = told.withColumn("other", F.coalesce("digest", F.lit(""))).drop("id", "digest")
     key = [*key, "other"]
-    final = told.groupBy(*key).agg(F.max(F.struct("doc_id", "row")).alias("stays"),
-                                   F.count("*").alias("group_size"))
-    final = final.select(*key, F.col("stays.row").alias("keep_row"), F.col("stays.doc_id").alias("keep_id"),
-                         "group_size")
-    return told.join(final, key)
+    final = common.stored(told.where("size IS NOT NULL").groupBy(*key).agg(
+        F.max(F.struct("doc_id", "row")).alias("stays"), F.count("*").alias("group_size")), "leaders")
+    # a row without a group is its own leader
+    alone = F.col("stays").isNull()
+    return told.drop("size").join(final, key, "left").select(
+        "doc_id", "row", "text_sha256", *key,
+        F.when(alone, F.col("row")).otherwise(F.col("stays.row")).alias("keep_row"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("stays.doc_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"))
 
 
 def dedupe(docs: DataFrame) -> DataFrame:
