@@ -43,6 +43,8 @@ END = np.uint64(0xE4D0000000000001)
 BEGIN = np.uint64(0xBE61000000000002)
 #: tokens whose pairs a task sums before it hands them on
 HELD_TOKENS = 1 << 21
+#: words or pairs that a writer of arrays sums at once
+HELD_KEYS = 1 << 19
 #: bytes of text for one array file, about
 SHARD_BYTES = 1 << 24
 _INVERSE_1 = np.uint64(pow(0xBF58476D1CE4E5B9, -1, 1 << 64))
@@ -217,7 +219,7 @@ def _write_counts(folder: str, bits: int):
                         yield from flush(True)
                         now = kind
                     held.append((keys[mine], counts[mine]))
-            if sum(len(k) for k, _ in held) >= HELD_TOKENS:
+            if sum(len(k) for k, _ in held) >= HELD_KEYS:
                 yield from flush(False)
         yield from flush(True)
         pairs.close()
