@@ -73,10 +73,10 @@ def test_issue_totals_reuse_one_aggregation(spark):
 def test_reports_share_a_selection(spark):
     trips = X.trips(spark, SF)
     alone = reports.usage_report(trips, "1997-01-01", "1997-12-31")
-    shared = reports.usage_report(trips, "1997-01-01", "1997-12-31", share=True)
-    assert set(alone) == set(shared) and len(alone) == 12
-    for name in ("trip_kpis", "top_bikes", "trips_per_hour", "trip_range"):
-        assert rows(alone[name]) == rows(shared[name])
+    with reports.shared_usage_report(trips, "1997-01-01", "1997-12-31") as shared:
+        assert set(alone) == set(shared) and len(alone) == 12
+        for name in ("trip_kpis", "top_bikes", "trips_per_hour", "trip_range"):
+            assert rows(alone[name]) == rows(shared[name])
     metadata = X.trip_metadata(spark, SF)
     found = reports.quality_report(metadata, F.lit("2024-01-30").cast("timestamp_ntz"))
     assert len(found) == 11 and found["overview"].first().total_trips == metadata.count()

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame
 
@@ -15,19 +16,7 @@ USAGE_COLUMNS = [
 ]
 
 
-def usage_report(
-    trips: DataFrame, d0: usage.Day = None, d1: usage.Day = None, members=(),
-    share: bool = False,
-) -> dict[str, DataFrame]:
-    """All usage queries over one selection of trips.
-
-    ``share`` keeps the selected columns in executor memory and disk for the queries of one
-    dashboard refresh; leave it off for a selection far larger than the cluster's memory, where
-    each query reads its own few columns from the files.
-    """
-    base = usage.trip_filter(trips, d0, d1, members)
-    if share:
-        base = base.select(*[c for c in USAGE_COLUMNS if c in base.columns]).persist()
+def _usage_queries(base: DataFrame, trips: DataFrame) -> dict[str, DataFrame]:
     queries: list[Callable[[DataFrame], DataFrame]] = [
         usage.trip_kpis, usage.trips_per_day, usage.top_start_stations, usage.top_end_stations,
         usage.duration_by_member, usage.top_bikes, usage.trips_per_hour, usage.trips_per_weekday,
@@ -39,6 +28,29 @@ def usage_report(
     return report
 
 
+def usage_report(
+    trips: DataFrame, d0: usage.Day = None, d1: usage.Day = None, members=()
+) -> dict[str, DataFrame]:
+    """All usage queries over one selection of trips; each reads its own few columns from the files."""
+    return _usage_queries(usage.trip_filter(trips, d0, d1, members), trips)
+
+
+@contextmanager
+def shared_usage_report(
+    trips: DataFrame, d0: usage.Day = None, d1: usage.Day = None, members=()
+) -> Iterator[dict[str, DataFrame]]:
+    """The same with the selected columns kept in executor memory and disk until the block ends.
+
+    For the queries of one dashboard refresh over a selection that fits the cluster.
+    """
+    base = usage.trip_filter(trips, d0, d1, members)
+    base = base.select(*[c for c in USAGE_COLUMNS if c in base.columns]).persist()
+    try:
+        yield _usage_queries(base, trips)
+    finally:
+        base.unpersist()
+
+
 def quality_report(metadata: DataFrame, as_of: Column) -> dict[str, DataFrame]:
     """All quality queries over the metadata table."""
     queries: list[Callable[[DataFrame], DataFrame]] = [
