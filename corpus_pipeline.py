@@ -17,7 +17,6 @@ NULL ids, NULL sources and further columns pass through; empty tables give empty
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tripflow.llm import common, decontamination, exact_dedup, language_id, mixing, near_dedup
 

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
@@ -41,6 +42,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def opened(uri: str) -> tuple[fs.FileSystem, str]:
+    """The store of a file in the shared folder, and its path there; a task's way to plain files."""
+    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound the rows of an Arrow batch: a batch of long texts must fit a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)

@@ -120,10 +120,6 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush()
 
 
-def _opened(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
-
-
 class _Shards:
     """Writes sorted arrays, one file for each run of keys with equal highest bits."""
 
@@ -147,7 +143,7 @@ class _Shards:
         if self.held:
             # a name of its own for every attempt: a repeated task never touches another's file
             path = f"{self.folder}/{self.name}-{self.now}-{uuid.uuid4().hex}"
-            store, local = _opened(path)
+            store, local = common.opened(path)
             store.create_dir(local.rpartition("/")[0], recursive=True)
             arrays = [np.concatenate(x) for x in zip(*self.held, strict=True)]
             with store.open_output_stream(local) as out:
@@ -291,7 +287,7 @@ class Model:
         got = self._open.get((kind, shard))
         if got is None and shard in (files := getattr(self, kind)):
             path, n = files[shard]
-            store, local = _opened(path)
+            store, local = common.opened(path)
             if not isinstance(store, fs.LocalFileSystem):
                 # a store that can't be mapped: once for each worker process
                 copy = tempfile.NamedTemporaryFile(prefix="ngrams-")

@@ -21,7 +21,6 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tripflow.llm import common
 

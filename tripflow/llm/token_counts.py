@@ -20,7 +20,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import tiktoken
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -46,10 +45,6 @@ def encoding(vocabulary: str) -> tiktoken.Encoding:
     return _ENCODINGS[vocabulary]
 
 
-def opened(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
-
-
 def write_files(docs: DataFrame, folder: str, vocabulary: str = VOCABULARY,
                 end: int = END_OF_DOCUMENT, width: int = 2) -> DataFrame:
     """Write a token file for each partition; file, ordinal and doc_id of every row.
@@ -64,7 +59,7 @@ def write_files(docs: DataFrame, folder: str, vocabulary: str = VOCABULARY,
         for batch in batches:
             for piece in common.pieces(batch, "text"):
                 if out is None:
-                    store, path = opened(name)
+                    store, path = common.opened(name)
                     store.create_dir(path.rpartition("/")[0], recursive=True)
                     out = store.open_output_stream(path)
                 for text in piece.column(1).to_pylist():
@@ -87,7 +82,7 @@ def _blocks(width: int, block: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name in batch.column(0).to_pylist():
-                store, path = opened(name)
+                store, path = common.opened(name)
                 n = -(-store.get_file_info(path).size // width)
                 starts = np.arange(0, n, block)
                 yield pa.RecordBatch.from_arrays(
@@ -104,7 +99,7 @@ def _separators(width: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, start, tokens in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                store, path = opened(name)
+                store, path = common.opened(name)
                 with store.open_input_file(path) as file:
                     ids = np.frombuffer(file.read_at(tokens * width, start * width), f"<u{width}")
                 at = np.flatnonzero(ids == end)
