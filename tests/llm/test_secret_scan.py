@@ -4,6 +4,8 @@ import base64
 import hashlib
 import random
 import re
+import string
+import uuid
 
 from conftest import SF
 from helpers import LONG, ODD, frame, read
@@ -81,6 +83,33 @@ def test_novel_strings():
     assert ss.novel_spans(f"{around} bearer configuration_service_is_read_at_start1 {around}", []) == []
 
 
+def test_random_keys_of_every_alphabet_are_found(spark):
+    """At least 99 % of 100 random keys of each kind, between texts of the table."""
+    dice = random.Random(7)
+    texts = [r.text for r in read(spark, SF).orderBy("doc_id").collect() if r.text and not ss.CANDIDATE.search(r.text)]
+    mixed, small = string.ascii_letters + string.digits, string.ascii_lowercase + string.digits
+    alphabets = {f"{name}-{n}": (chars, n) for n in (24, 32, 40, 64, 128, 1000) for name, chars in (
+        ("mixed", mixed), ("small", small), ("capital", string.ascii_uppercase + string.digits), ("hex", "0123456789ABCDEF"))}
+    kinds = {name: (lambda chars=chars, n=n: "".join(dice.choices(chars, k=n))) for name, (chars, n) in alphabets.items()}
+    kinds |= {f"base64-{n}": (lambda n=n: base64.b64encode(dice.randbytes(n)).decode()) for n in (18, 32, 48, 600)}
+    kinds |= {"uuid": lambda: str(uuid.UUID(int=dice.getrandbits(128))), "UUID": lambda: str(uuid.UUID(int=dice.getrandbits(128))).upper()}
+    for kind, draw in kinds.items():
+        found = 0
+        for _ in range(100):
+            while not (re.search("[0-9]", key := draw()) and re.search("[A-Za-z]", key)):
+                pass
+            text = f"{dice.choice(texts)[:2000]} bearer {key} {dice.choice(texts)[:2000]}"
+            begin = text.index(key)
+            found += (begin, 3, begin + len(key)) in ss.novel_spans(text, [])
+        assert found >= 99, (kind, found)
+
+
+def test_joined_words_are_not_novel():
+    for word in ("user_profile_manager_service_v2", "/storage/backup/archive/index/file1", "PRIMARY_DATABASE_REGION_1",
+                 "paymentGatewayRequestHandler2", "daily-report-template-renderer-01", "x" * 24 + "1", "0000-0000-0000-0000-000a"):
+        assert ss.novel_spans(f"use the token of {word} here", []) == [], word
+
+
 def test_odd_rows(spark):
     got = ss.scan(frame(spark, ODD, clash=True)).collect()
     assert len(got) == len(ODD) and {r.spans for r in got} == {""}

@@ -2,9 +2,10 @@
 
 The base finds three kinds by pattern. The method adds spans of the kind ``novel``: a candidate is a long
 unbroken string that stands in a sensitive context (a word of credentials shortly before it) and isn't already inside a base
-span. A zstandard compressor is primed with a dictionary of what surrounds the candidate and of the
-identifiers of its text and of code in general; the bytes the candidate adds to a frame, over its length,
-are its novelty. Ordinary words, paths and repeated identifiers cost few bytes; a random key can't be compressed.
+span. A zstandard compressor is primed with a dictionary: code lengths of ordinary words and joined identifiers, the words of
+code in general, and what surrounds the candidate. Only the candidate is compressed, and what an empty frame takes is
+taken off; those bytes, over the bytes that random characters of the candidate's own alphabet carry, are its
+novelty. Ordinary words, paths and what stands around cost few bytes; a random key can't be compressed, whatever its alphabet.
 
 Spans are code points, end exclusive. Results for special rows: a NULL text is empty and has no spans; a
 NULL id is an id; repeated rows are rows of their own; an empty table gives no rows. Other columns are not
@@ -13,8 +14,12 @@ looked at.
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import math
+import random
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +44,13 @@ CONTEXT = re.compile(
 NEAR = 48
 #: code points on either side that prime the compressor
 AROUND = 2048
-#: least added bytes per byte of the candidate; random base64 text adds about 1, joined words 0.5 to 0.9
+#: least novelty of a long candidate; joined words have mostly 0.7 to 1.1
 NOVELTY = 0.95
+#: share of what whole bytes have above the alphabet's bits that is asked of short candidates on top: too short for a table of
+#: their own codes, random characters cost nearly whole bytes
+SHORT = 0.6
+#: characters up to which a candidate is short; the addition falls as 1 / length beyond
+SHORT_CHARS = 48
 #: identifiers that code uses everywhere
 IDENTIFIERS = (
     "password passwd secret token api_key apikey access_key private_key client_id client_secret authorization bearer "
@@ -48,6 +58,35 @@ IDENTIFIERS = (
     "return function import export const require module version license copyright http https www com org html "
     "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 0123456789abcdef xxxxxxxxxxxxxxxx "
     "0000000000000000 AAAAAAAAAAAAAAAA ---------------- ================ ________________")
+#: words that identifiers are joined from
+WORDS = (
+    "access account action active admin agent alert analytics api app application archive asset audit auth aws "
+    "azure backend backup base batch binding block bool branch browser bucket build button cache call campaign "
+    "cert check class client cloud cluster code collection column command common component config connection "
+    "consumer container content context control cookie core count create cron current custom customer dashboard "
+    "data database date debug default delete deploy detail dev device dictionary direct disk display docker "
+    "document domain download driver element email enable endpoint engine entity error event example executor "
+    "export external factory feature field file filter firebase flag folder form format frame function gateway "
+    "generator get global google group handler hash header health helper home host image import index info input "
+    "instance integration interface internal invoice item java job key lambda layer library license limit link "
+    "list listener load local lock log login main manager map master message meta method metric mobile mode model "
+    "module monitor name namespace network node notification number object option order output owner package page "
+    "param parent parser partition password path payment permission pipeline platform plugin policy pool port "
+    "primary private process producer product production profile project property provider proxy public publisher "
+    "query queue random read record redis refresh region register release remote render replica report repository "
+    "request resource response result role root route rule runner runtime sample schedule schema scope script "
+    "search secondary secret section security select sender server service session setting shared signature "
+    "simple site source spark stage staging start state static status storage store stream string style submit "
+    "support sync system table tag target task team template temp test text theme thread time timeout title token "
+    "tool topic trace transaction type unit update upload url user util validation value variable vendor version "
+    "view volume web webhook website widget window worker workflow workspace write zone the and for with that "
+    "this from have not are was were been will would their there which about other into more some time only over "
+    "after also")
+_CLASSES = tuple((re.compile(p), n) for p, n in (("[0-9]", 10), ("[a-f]", 6), ("[g-z]", 20), ("[A-F]", 6), ("[G-Z]", 20)))
+# A low strategy takes the dictionary's code lengths for short texts too; higher ones leave these uncoded.
+_PACK = zstandard.ZstdCompressionParameters(
+    window_log=17, chain_log=14, hash_log=14, search_log=4, min_match=4, target_length=32,
+    strategy=zstandard.STRATEGY_GREEDY, write_content_size=0, write_dict_id=0, write_checksum=0)
 
 
 def _class_runs(data: np.ndarray, offsets: np.ndarray, members: bytes, least: int) -> np.ndarray:
@@ -70,18 +109,51 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
+@functools.cache
+def _codes() -> bytes:
+    """Head of a zstandard dictionary: code lengths trained on joined words, up to where the dictionary's content begins."""
+    dice, words = random.Random(1), WORDS.split()
+    every = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+    samples = []
+    for _ in range(400):
+        few = dice.sample(words, 8)
+        number = "".join(dice.choices("0123456789", k=dice.randint(1, 4)))
+        samples.append((dice.choice("__--/. ").join(few[:4]) + dice.choice(" _-") + number + " "
+                        + "".join(w.title() for w in few[4:7]) + f" {few[7]}\n" + dice.choice(every)).encode())
+    trained = zstandard.train_dictionary(4096, samples, k=64, d=8, dict_id=1, level=3).as_bytes()
+    # the head ends with three offsets
+    return trained[:trained.index(struct.pack("<III", 1, 4, 8)) + 12]
+
+
+def alphabet_bits(candidate: str) -> float:
+    """Bits a random character of the candidate's alphabet carries: digits, a-f, g-z, A-F, G-Z and single signs, as it has them.
+
+    A letter beyond f means all letters of its case.
+    """
+    has = [bool(p.search(candidate)) for p, _ in _CLASSES]
+    has[1], has[3] = has[1] or has[2], has[3] or has[4]
+    signs = len(set(re.findall(r"[^A-Za-z0-9]", candidate)))
+    return math.log2(max(2, sum(n for (_, n), h in zip(_CLASSES, has, strict=True) if h) + signs))
+
+
 def novelty(candidate: str, around: str) -> float:
-    """Bytes that the candidate adds to the compressed surroundings, per byte of it.
+    """Bytes that the candidate takes after its surroundings, over those of random characters of its alphabet.
 
-    The compressor is primed with the identifiers; the surroundings give it what may repeat and the code
-    lengths of ordinary characters.
+    The surroundings are the dictionary, so they cost the same with any candidate. Capitals alone
+    are compared as small letters: words are words in either case.
     """
-    known = IDENTIFIERS + "\n" + " ".join(sorted(set(re.findall(r"[A-Za-z_]\w+", around))))
-    primed = zstandard.ZstdCompressionDict(
-        known.encode("utf-8", "replace"), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    pack = zstandard.ZstdCompressor(level=19, dict_data=primed)
-    before, data = around.encode("utf-8", "replace"), candidate.encode()
-    return (len(pack.compress(before + b"\n" + data)) - len(pack.compress(before + b"\n"))) / len(data)
+    bits = alphabet_bits(candidate)
+    if not re.search(r"[a-z]", candidate):
+        candidate, around = candidate.lower(), around.lower()
+    known = f"{WORDS} {IDENTIFIERS}\n{around}\n".encode("utf-8", "replace")
+    primed = zstandard.ZstdCompressionDict(_codes() + known, dict_type=zstandard.DICT_TYPE_FULLDICT)
+    pack = zstandard.ZstdCompressor(compression_params=_PACK, dict_data=primed)
+    return 8 * (len(pack.compress(candidate.encode())) - len(pack.compress(b""))) / (bits * len(candidate))
+
+
+def is_novel(candidate: str, around: str) -> bool:
+    more = SHORT * (8 / alphabet_bits(candidate) - 1) * min(1.0, SHORT_CHARS / len(candidate))
+    return novelty(candidate, around) >= NOVELTY + more
 
 
 def novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
@@ -96,7 +168,7 @@ def novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
         if not CONTEXT.search(text, max(0, begin - NEAR), begin):
             continue
         around = text[max(0, begin - AROUND):begin] + " " + text[end:end + AROUND]
-        if novelty(word, around) >= NOVELTY:
+        if is_novel(word, around):
             out.append((begin, 3, end))
     return out
 
