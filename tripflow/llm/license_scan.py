@@ -1,7 +1,8 @@
 """License scans by template markup.
 
 A template is a license notice in which some regions are marked: ``{name}`` stands for up to a number of words
-of any wording (replaceable), ``[...]`` for wording that may be left out (optional). It is compiled into an
+of any wording (replaceable), ``[...]`` for wording that may be left out (optional), ``<..|..>`` for one of several
+wordings. Whole texts and standard headers are templates of their own beside one-line references. A template is compiled into an
 automaton over words; a text has the template's label where the automaton, started at a word, reaches
 its end, that is where all mandatory words stand exactly and in order. Words are as in the contract of
 ``scan``: punctuation and case don't count.
@@ -12,6 +13,7 @@ are rows of their own; an empty table gives no rows. Other columns are not looke
 
 from __future__ import annotations
 
+import pkgutil
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,23 +28,79 @@ from tripflow.llm import common
 #: phrase -> label (fixed values)
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-#: label -> template; {n} stands for up to n words of any wording, [..] may be left out
+_BSD_TERMS = """Redistribution and use in source and binary forms with or without modification are permitted provided
+    that the following conditions are met
+    [1 | a | i] Redistributions of source code must retain the above copyright notice this list of conditions and the
+    following disclaimer
+    [2 | b | ii] Redistributions in binary form must reproduce the above copyright notice this list of conditions and the
+    following disclaimer in the documentation and or other materials provided with the distribution"""
+_BSD_ADVERTISING = """[3 | c | iii] All advertising materials mentioning features or use of this software must display the following
+    acknowledgement This product includes software developed by {24}"""
+_BSD_NAMES = """[3 | 4 | c | d | iii | iv] <Neither the <name | names> of {16} nor the names of {6} contributors may be used |
+    The <name | names> of {16} may not be used> to endorse or promote products derived from this software without
+    specific prior written permission"""
+_BSD_DISCLAIMER = """This software is provided by {16} as is and any express or implied warranties including but not limited
+    to the implied warranties of merchantability and fitness for a particular purpose are disclaimed
+    In no event shall {16} be liable for any direct indirect incidental special exemplary or consequential damages
+    including but not limited to procurement of substitute goods or services loss of use data or profits or business
+    interruption however caused and on any theory of liability whether in contract strict liability or tort including
+    negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such
+    damage"""
+_MIT_GRANT = """Permission is hereby granted free of charge to any person obtaining a copy of this software
+    and associated documentation files [the Software] to deal in [the Software] without restriction
+    including without limitation the rights to use copy modify merge publish distribute sublicense and or
+    sell copies [of the Software] and to permit persons to whom the Software is furnished to do so"""
+_MIT_DISCLAIMER = """The Software is provided as is without warranty of any kind express or implied including but not
+    limited to the warranties of merchantability fitness for a particular purpose and noninfringement
+    In no event shall {16} be liable for any claim damages or other liability whether in an action of contract tort or
+    otherwise arising from out of or in connection with the Software or the use or other dealings in the Software"""
+_APACHE_NOTICE = """<licensed | licenses this file to you> under the Apache License [version] 2 0 [the License]
+    you may not use this file except in compliance with the License"""
+
+
+def _gpl(version: str) -> dict[str, str]:
+    version = f"version {version} [0]"
+    free = """is free software you can redistribute it and or modify it under the terms of the GNU General Public License
+        """ + f"""<as published by the Free Software Foundation [either] {version} [of the License] |
+        {version} [of the License] as published by the Free Software Foundation>"""
+    return {
+        "reference": f"""<[this] {{4}} is [licensed | released] under the [terms of the] [GNU] General Public
+            License [as published by the Free Software Foundation] [either] {version} [of the License] | [this] {{4}} {free}>""",
+        "header": f"""[this] {{4}} {free} [only] [or at your option any later version]
+            {{6}} is distributed in the hope that it will be useful but without any warranty without even the
+            implied warranty of merchantability or fitness for a particular purpose
+            See the GNU General Public License for more details""",
+    }
+
+
+def _whole(name: str) -> str:
+    """A licence's terms and conditions word by word."""
+    return pkgutil.get_data("tripflow.llm", f"licenses/{name}.txt").decode()
+
+
+#: label -> template; {n} stands for up to n words of any wording, [..] may be left out, <..|..> is one of several
 TEMPLATES = {
     "mit-reference": "[this work is] {4} under the [terms of the] MIT License",
-    "mit-text": """Permission is hereby granted free of charge to any person obtaining a copy of this software
-        and associated documentation files [the Software] to deal in [the Software] without restriction
-        including without limitation the rights to use copy modify merge publish distribute sublicense and or
-        sell copies [of the Software]""",
+    "mit-text": f"""{_MIT_GRANT} subject to the following conditions
+        The above copyright notice and this permission notice [including the next paragraph] shall be included in all
+        copies or substantial portions of the Software {_MIT_DISCLAIMER}""",
+    "mit-0-text": f"{_MIT_GRANT} {_MIT_DISCLAIMER}",
     "apache-2.0-reference": "licensed under the Apache License [version] 2 0 [the License]",
-    "apache-2.0-notice": """licensed under the Apache License version 2 0 [the License] you may not use this
-        file except in compliance with the License""",
-    "gpl-3.0-reference": """[this] {4} is [licensed | released] under the [terms of the] [GNU] General Public
-        License [as published by the Free Software Foundation] [either] version 3 [of the License]""",
-    "gpl-2.0-reference": """[this] {4} is [licensed | released] under the [terms of the] [GNU] General Public
-        License [as published by the Free Software Foundation] [either] version 2 [of the License]""",
+    "apache-2.0-notice": _APACHE_NOTICE,
+    "apache-2.0-header": f"""{_APACHE_NOTICE} You may obtain a copy of the License at
+        [http www apache org licenses LICENSE 2 0 | https www apache org licenses LICENSE 2 0]
+        Unless required by applicable law or agreed to in writing software distributed under the License is distributed on
+        an as is basis without warranties or conditions of any kind either express or implied
+        See the License for the specific language governing permissions and limitations under the License""",
+    "apache-2.0-text": _whole("apache-2.0"),
+    **{f"gpl-3.0-{kind}": markup for kind, markup in _gpl("3").items()},
+    "gpl-3.0-text": _whole("gpl-3.0"),
+    **{f"gpl-2.0-{kind}": markup for kind, markup in _gpl("2").items()},
+    "gpl-2.0-text": _whole("gpl-2.0"),
     "cc-by-nc-4.0-reference": "{1} under [the] [Creative Commons | CC] BY NC 4 0 [License]",
-    "bsd-3-clause-text": """Redistribution and use in source and binary forms with or without modification
-        are permitted provided that the following conditions are met""",
+    "bsd-2-clause-text": f"{_BSD_TERMS} {_BSD_DISCLAIMER}",
+    "bsd-3-clause-text": f"{_BSD_TERMS} {_BSD_NAMES} {_BSD_DISCLAIMER}",
+    "bsd-4-clause-text": f"{_BSD_TERMS} {_BSD_ADVERTISING} {_BSD_NAMES} {_BSD_DISCLAIMER}",
 }
 
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -59,7 +117,7 @@ class Automaton:
     steps: tuple[tuple[tuple[bytes | None, int], ...], ...]
     closure: tuple[frozenset[int], ...]
     final: int
-    starts: frozenset[bytes]
+    starts: frozenset[bytes | None]
 
     def ends(self, words: list[bytes], at: int) -> int:
         """Where the longest match that begins at word ``at`` ends; ``at`` if there is none."""
@@ -76,8 +134,8 @@ class Automaton:
 
 
 def compile_template(label: str, markup: str) -> Automaton:
-    """Automaton of a template. Alternatives inside [..] are separated by |; regions don't nest."""
-    tokens = re.findall(r"\[[^\]]*\]|\{\d+\}|[^\s\[\]{}]+", markup)
+    """Automaton of a template. Alternatives inside [..] and <..> are separated by |; regions may nest."""
+    tokens = re.findall(r"[\[\]<>|]|\{\d+\}|[^\s\[\]<>|{}]+", markup)
     steps: list[list[tuple[bytes | None, int]]] = [[]]
     skips: list[set[int]] = [set()]
 
@@ -86,32 +144,40 @@ def compile_template(label: str, markup: str) -> Automaton:
         skips.append(set())
         return len(steps) - 1
 
-    def line(begin: int, text: str) -> int:
-        for word in _WORD.findall(text.lower().encode()):
-            end = state()
-            steps[begin].append((word, end))
-            begin = end
-        return begin
-
-    now = 0
-    for token in tokens:
-        if token[0] == "{":
-            begins, many = now, int(token[1:-1])
-            inner = [begins]
-            for _ in range(many):
+    def line(now: int, place: int) -> tuple[int, int]:
+        """From state ``now``, the tokens from a place up to where the region they are in ends or goes on: state and place."""
+        while place < len(tokens) and tokens[place] not in "]>|":
+            token = tokens[place]
+            place += 1
+            if token[0] == "{":
+                inner = [now]
+                for _ in range(int(token[1:-1])):
+                    now = state()
+                    steps[inner[-1]].append((None, now))
+                    inner.append(now)
+                for s in inner[:-1]:
+                    skips[s].add(now)
+            elif token in "[<":
+                begin, ends = now, [now] if token == "[" else []
+                place -= 1
+                while tokens[place] not in "]>":
+                    # a choice has a beginning of its own: nothing may lead from one into another
+                    first = state()
+                    skips[begin].add(first)
+                    end, place = line(first, place + 1)
+                    ends.append(end)
+                place += 1
                 now = state()
-                steps[inner[-1]].append((None, now))
-                inner.append(now)
-            for s in inner[:-1]:
-                skips[s].add(now)
-        elif token[0] == "[":
-            ends = [line(now, choice) for choice in token[1:-1].split("|")]
-            after = state()
-            for s in (now, *ends):
-                skips[s].add(after)
-            now = after
-        else:
-            now = line(now, token)
+                for s in ends:
+                    skips[s].add(now)
+            else:
+                for word in _WORD.findall(token.lower().encode()):
+                    end = state()
+                    steps[now].append((word, end))
+                    now = end
+        return now, place
+
+    now, _ = line(0, 0)
     closure = []
     for s in range(len(steps)):
         seen, todo = {s}, [s]
@@ -120,13 +186,22 @@ def compile_template(label: str, markup: str) -> Automaton:
                 seen.add(t)
                 todo.append(t)
         closure.append(frozenset(seen))
-    firsts = frozenset(read for s in closure[0] for read, _ in steps[s] if read is not None)
+    firsts = frozenset(read for s in closure[0] for read, _ in steps[s])
     return Automaton(label, tuple(map(tuple, steps)), tuple(closure), now, firsts)
 
 
 def mandatory(markup: str) -> list[bytes]:
-    """The words that every accepted text has."""
-    return _WORD.findall(re.sub(r"\[[^\]]*\]|\{\d+\}", " ", markup).lower().encode())
+    """Words that every accepted text has; of alternatives those that all of them have."""
+    def shared(choice: re.Match) -> str:
+        if choice[0][0] != "<":
+            return " "
+        first, *others = (re.findall(r"[^\W_]+", text.lower()) for text in choice[0][1:-1].split("|"))
+        return f" {' '.join(w for w in first if all(w in other for other in others))} "
+
+    markup, before = re.sub(r"\{\d+\}", " ", markup), None
+    while before != markup:
+        before, markup = markup, re.sub(r"\[[^\[\]<>]*\]|<[^\[\]<>]*>", shared, markup)
+    return _WORD.findall(markup.lower().encode())
 
 
 class Scanner:
@@ -161,9 +236,11 @@ class Scanner:
         """Matches that don't overlap, from the left. A match has the template's rarest mandatory word
         at most ``reach`` words behind its start, so only starts before such a word are tried."""
         anchor = min(set(needed), key=lambda w: len(at[w]))
-        reach, found, free = len(automaton.steps), [], 0
+        reach, found, free, any_word = len(automaton.steps), [], 0, None in automaton.starts
         for place in at[anchor]:
             for start in range(max(free, place - reach), place + 1):
+                if not (any_word or words[start] in automaton.starts):
+                    continue
                 end = automaton.ends(words, start)
                 if end > start and end > place:
                     found.append((start, end, automaton.label))
