@@ -6,8 +6,10 @@ automaton is a table state x symbol -> state in which a failing step already lea
 symbol from the start, with a mark that a new phrase began there; so a text takes one look-up per symbol and language, and
 many pieces of text advance in step in numpy.
 
-Text is lower-cased and reduced to letters; anything else is a gap, runs of gaps are one. The letters that
-are frequent in the labelled text have symbols of their own, the others share one.
+Text is lower-cased and reduced to letters; anything else is a gap, runs of gaps are one. Every language has
+an alphabet of its own, which holds all letters of its labelled text, whatever their script. A letter is one symbol; in
+languages of many letters (Han, Hangul) those beyond the most frequent are two. A letter that a language's labelled text
+doesn't have is a phrase by itself.
 
 Fitted on a bounded sample: at most ``docs_per_language`` labelled rows (those with the smallest hash)
 and ``chars_per_language`` of their symbols. Results for special rows: a text that is NULL or has no letter is ``und``
@@ -18,9 +20,11 @@ Other columns are not looked at.
 
 from __future__ import annotations
 
+import functools
+import sys
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +34,7 @@ from pyspark.sql import functions as F
 from tripflow.llm import common
 
 UNKNOWN = "und"
+#: symbols of a language (gap and strange letters included) up to which every letter is one symbol
 SYMBOLS = 64
 DOCS_PER_LANGUAGE = 64
 CHARS_PER_LANGUAGE = 40_000
@@ -84,22 +89,53 @@ def parse_table(symbols: list[int], size: int) -> np.ndarray:
     return (base * size | (table & NEW)).astype(np.int32).ravel()
 
 
+@functools.cache
+def _is_letter() -> np.ndarray:
+    """Of every code point: 1 for letters, 0 for others."""
+    return np.fromiter((chr(p).isalpha() for p in range(sys.maxunicode + 1)), np.int32, sys.maxunicode + 1)
+
+
+@dataclass
+class Alphabet:
+    """Symbols of a language by letter number: 0 the gap, 1 a strange letter, 2.. its own; ``second`` is 0 for letters of one symbol."""
+
+    first: np.ndarray
+    second: np.ndarray
+    size: int
+
+    def spelt(self, numbers: np.ndarray) -> list[int]:
+        both = np.stack([self.first[numbers], self.second[numbers]], axis=1).ravel()
+        keep = both > 0
+        keep[::2] = True
+        return both[keep].tolist()
+
+
+def alphabet(counts: Counter, count: int, size: int) -> Alphabet:
+    """Alphabet of the letter numbers in ``counts``, out of ``count``: the most frequent have one symbol, and if
+    there are more than fit, the others two, the second ones being symbols that stand nowhere else."""
+    ranked = [k for k, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))]
+    first, second = np.ones(count, np.int32), np.zeros(count, np.int32)
+    first[0] = 0
+    single, others = ranked[:size - 2], ranked[size - 2:]
+    first[single] = np.arange(2, 2 + len(single))
+    side = int(np.ceil(np.sqrt(len(others))))
+    at, rank = 2 + len(single), np.arange(len(others))
+    if others:
+        first[others], second[others] = at + rank // side, at + side + rank % side
+    return Alphabet(first, second, at + 2 * side)
+
+
 @dataclass
 class Model:
     languages: list[str]
-    codes: np.ndarray  # code point -> symbol, for code points below its length
+    codes: np.ndarray  # code point -> number of a letter
     tables: list[np.ndarray]
     size: int
+    alphabets: list[Alphabet] = field(default_factory=list)
 
     def symbols(self, text: str) -> np.ndarray:
-        """Symbols of a text: 0 a gap, 1 a rare letter, 2.. the frequent ones."""
-        points = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
-        out = np.zeros(len(points), np.uint8)
-        low = points < len(self.codes)
-        out[low] = self.codes[points[low]]
-        if not low.all():
-            high = np.flatnonzero(~low)
-            out[high] = [chr(int(p)).isalpha() for p in points[high]]
+        """Letters of a text by number: 0 a gap, 1 a letter that no language has, 2.. the letters of the labelled text."""
+        out = self.codes[np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)]
         if len(out):
             keep = out > 0
             keep[1:] |= out[:-1] > 0
@@ -111,19 +147,26 @@ class Model:
         lengths = np.array([len(s) for s in streams])
         order = np.argsort(-lengths, kind="stable")
         longest = int(lengths.max(initial=0))
-        block = np.zeros((longest, len(streams)), np.uint8)
+        block = np.zeros((longest, len(streams)), np.int32)
         for column, k in enumerate(order):
             block[:lengths[k], column] = streams[k]
         active = np.searchsorted(-lengths[order], -np.arange(longest), side="left")
         out = np.zeros((len(self.tables), len(streams)), np.int64)
         for row, table in enumerate(self.tables):
+            own = self.alphabets[row] if self.alphabets else None
+            first = block if own is None else own.first[block]
+            second = own.second[block] if own is not None and own.second.any() else None
             state = np.zeros(len(streams), np.int32)
             count = np.zeros(len(streams), np.int32)
             for t in range(longest):
                 n = active[t]
-                step = table[state[:n] + block[t, :n]]
+                step = table[state[:n] + first[t, :n]]
                 count[:n] += step >> 30
                 state[:n] = step & ~NEW
+                if second is not None and len(more := np.flatnonzero(second[t, :n])):
+                    step = table[state[more] + second[t, more]]
+                    count[more] += step >> 30
+                    state[more] = step & ~NEW
             out[row, order] = count
         return out
 
@@ -162,18 +205,16 @@ def build(samples: list[tuple[str, str]], size: int = SYMBOLS,
         cleaned = " ".join(letters(text).split())
         if cleaned:
             by.setdefault(language, []).append(cleaned)
-    counts = Counter(c for texts in by.values() for t in texts for c in t if c != " ")
-    common_letters = [c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:size - 2]]
-    codes = np.array([chr(p).isalpha() for p in range(0x3000)], np.uint8)
-    for k, c in enumerate(common_letters):
-        if ord(c) < len(codes):
-            codes[ord(c)] = k + 2
+    parts = {language: [t[:max(1, chars // len(texts))] for t in texts] for language, texts in by.items()}
+    every = sorted({c for texts in parts.values() for t in texts for c in t if c != " "})
+    codes = _is_letter().copy()
+    codes[[ord(c) for c in every]] = np.arange(2, 2 + len(every))
     model = Model(sorted(by), codes, [], size)
     for language in model.languages:
-        texts = by[language]
-        share = max(1, chars // len(texts))
-        symbols = [int(s) for t in texts for s in [0, *model.symbols(t[:share])]]
-        model.tables.append(parse_table(symbols, size))
+        numbers = [model.symbols(t) for t in parts[language]]
+        own = alphabet(Counter(k for n in numbers for k in n.tolist() if k > 1), 2 + len(every), size)
+        model.alphabets.append(own)
+        model.tables.append(parse_table([s for n in numbers for s in [0, *own.spelt(n)]], own.size))
     return model
 
 
