@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from conftest import SF
 from helpers import ODD, frame, lower, read
 
@@ -87,6 +88,27 @@ def test_odd_rows(spark):
     assert long.n_tokens == 60_002 == long.n_known
 
 
+def test_words_with_equal_halves_of_their_hashes_are_kept_apart(spark):
+    names = np.array([f"w{i}" for i in range(400_000)])
+    hashes, _ = common.words(pa.array([" ".join(names)]))
+    order = np.argsort(hashes)
+    high = hashes[order] >> np.uint64(32)
+    at = np.flatnonzero(high[1:] == high[:-1])
+    assert len(at)
+    for k in at[:2]:
+        often, rare = names[order[k]], names[order[k + 1]]
+        rows = [(i, f"a{i} {often} b{i} {often} c") for i in range(40)] + [(50, f"d {rare} e"), (51, f"{rare} c {often}")]
+        docs = frame(spark, rows)
+        check(Brute([t for _, t in rows]), rows, nm.score(docs, nm.train(docs)).orderBy("doc_id").collect())
+
+
+def test_second_words():
+    dice = np.random.default_rng(2)
+    words = dice.integers(0, 2**63, 1000).astype(np.uint64) * np.uint64(2)
+    keys, before = nm.pair_keys(words, np.array([0, 400, 1000]))
+    assert (nm.second_words(keys, before) == words).all() and before[0] == before[400] == nm.BEGIN
+
+
 def test_nothing_to_learn_from(spark):
     model = nm.train(frame(spark, []))
     assert nm.score(frame(spark, []), model).collect() == []

@@ -14,8 +14,8 @@ that occur one to four times:
 N(w) is the number of different words before w, N their sum, D' the discounts of the N(w). After a word never seen as
 a context p(w) alone counts. Together with one unknown word everything sums to 1.
 
-Words are 64-bit hashes; inside a pair and as a context they are 32-bit ones, so contexts of a huge
-vocabulary may rarely be merged. A text is lower-cased in A-Z and split at white space; its end is a token.
+Words are 64-bit hashes, and so are pairs; a pair's hash and its first word give its second word back, so that the types
+of every word are its own in a vocabulary of any size. A text is lower-cased in A-Z and split at white space; its end is a token.
 
 Results for special rows: a NULL or empty text is just the end token; a NULL id counts as the empty text
 for the split; repeated rows count as often as they occur; without any training row all words are unknown: base_score and
@@ -75,13 +75,17 @@ def tokens(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, at
 
 
-def pair_keys(words: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Of every token, the stirred key of its predecessor's and its own 32-bit hash."""
+def pair_keys(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of every token, the key of its pair and its predecessor."""
     before = np.empty_like(words)
     before[1:] = words[:-1]
     before[at[:-1]] = BEGIN
-    high = np.uint64(0xFFFFFFFF00000000)
-    return common.mix((before & high) | (words >> np.uint64(32)))
+    return common.mix(common.mix(before, 1) + words), before
+
+
+def second_words(keys: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """The second words of pairs."""
+    return unmix(keys) - common.mix(before, 1)
 
 
 def _shard(key, bits: int):
@@ -95,28 +99,38 @@ def shard_bits(text_bytes: int) -> int:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of words and of pairs of a part of the texts, held back until there are HELD_TOKENS."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    """Counts of words (no ``before``) and of pairs of a part of the texts, held back until there are HELD_TOKENS."""
+    words, pairs, befores = [], [], []
     size = 0
 
     def flush() -> Iterator[pa.RecordBatch]:
-        for is_word in (True, False):
-            keys, counts = np.unique(np.concatenate([h[not is_word] for h in held]), return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(keys), is_word)), pa.array(common.signed(keys)), pa.array(counts)],
-                ["is_word", "key", "n"])
+        keys, counts = np.unique(np.concatenate(words), return_counts=True)
+        words.clear()
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(len(keys), pa.int64()), pa.array(common.signed(keys)), pa.array(counts)], ["before", "key", "n"])
+        keys, first, counts = np.unique(np.concatenate(pairs), return_index=True, return_counts=True)
+        pairs.clear()
+        before = np.concatenate(befores)[first]
+        befores.clear()
+        # equal predecessors side by side: shuffled in this order they take little space
+        order = np.argsort(before)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(common.signed(before[order])), pa.array(common.signed(keys[order])), pa.array(counts[order])],
+            ["before", "key", "n"])
 
     for batch in batches:
         for piece in common.pieces(batch, "text"):
-            words, at = tokens(piece.column(0))
+            found, at = tokens(piece.column(0))
             # the beginning isn't a token, but a context whose count is that of the texts
-            begins = np.full(piece.num_rows, BEGIN)
-            held.append((np.concatenate([words, begins]), pair_keys(words, at)))
-            size += len(words)
+            words.append(np.concatenate([found, np.full(piece.num_rows, BEGIN)]))
+            keys, before = pair_keys(found, at)
+            pairs.append(keys)
+            befores.append(before)
+            size += len(found)
             if size >= HELD_TOKENS:
                 yield from flush()
-                held, size = [], 0
-    if held:
+                size = 0
+    if words:
         yield from flush()
 
 
@@ -166,47 +180,46 @@ def _parts(kind: str, **columns) -> pa.RecordBatch:
             for f in list(_PART_FIELDS)[1:]], schema=_PART_FIELDS)
 
 
-def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of equal neighbours."""
+def _summed(keys: np.ndarray, counts: np.ndarray, *others: np.ndarray) -> list[np.ndarray]:
+    """Sums of equal neighbours; the other columns are equal where the keys are."""
     new = np.ones(len(keys), bool)
     new[1:] = keys[1:] != keys[:-1]
     at = np.flatnonzero(new)
-    return keys[at], np.add.reduceat(counts, at) if len(at) else counts[:0]
+    return [keys[at], np.add.reduceat(counts, at) if len(at) else counts[:0], *(x[at] for x in others)]
 
 
 def _write_counts(folder: str, bits: int):
-    """Sorted (is_word, key, n) -> array files of pairs; rows: those files, words with counts, and for each 32-bit
+    """Sorted (before, key, n), pairs before words -> array files of pairs; rows: those files, words with counts, and for each
     word the pairs it begins by count (n1, n2, n3) and the pairs it ends (types), as far as this task has them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = _Shards(folder, bits, "pairs")
         often = np.zeros(5, np.int64)
         now, held = False, []
 
-        def give(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        def give(keys: np.ndarray, counts: np.ndarray, before: np.ndarray) -> Iterator[pa.RecordBatch]:
             if now:
                 yield _parts("word", id=common.signed(keys), n=counts)
                 return
             pairs.add(keys, [np.minimum(counts, 0xFFFFFFFF).astype(np.uint32)])
             often[:] += np.bincount(np.minimum(counts, 5), minlength=6)[1:]
-            both = unmix(keys)
-            before, behind = (both >> np.uint64(32)).astype(np.int64), (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
-            ids, place = np.unique(np.concatenate([before, behind]), return_inverse=True)
+            ids, place = np.unique(np.concatenate([before, second_words(keys, before)]), return_inverse=True)
             first, second = place[:len(keys)], place[len(keys):]
             found = [np.bincount(first[mask], minlength=len(ids)) for mask in (counts == 1, counts == 2, counts > 2)]
-            yield _parts("type", id=ids, n1=found[0], n2=found[1], n3=found[2],
+            yield _parts("type", id=common.signed(ids), n1=found[0], n2=found[1], n3=found[2],
                          types=np.bincount(second, minlength=len(ids)))
 
         def flush(all_of_it: bool) -> Iterator[pa.RecordBatch]:
             """Hand on what is held; the last key may go on in the next batch."""
             if not held:
                 return
-            keys, counts = _summed(*(np.concatenate(x) for x in zip(*held, strict=True)))
-            keep = 0 if all_of_it else 1
-            held[:] = [(keys[len(keys) - keep:], counts[len(counts) - keep:])] if keep else []
-            yield from give(keys[:len(keys) - keep], counts[:len(counts) - keep])
+            columns = _summed(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            upto = len(columns[0]) - (0 if all_of_it else 1)
+            held[:] = [] if all_of_it else [[x[upto:] for x in columns]]
+            yield from give(*(x[:upto] for x in columns))
 
         for batch in batches:
-            is_word = batch.column(0).to_numpy(zero_copy_only=False)
+            is_word = batch.column(0).is_null().to_numpy(zero_copy_only=False)
+            before = batch.column(0).fill_null(0).to_numpy().view(np.uint64)
             keys, counts = batch.column(1).to_numpy().view(np.uint64), batch.column(2).to_numpy()
             for kind in (False, True):
                 mine = is_word == kind
@@ -214,8 +227,8 @@ def _write_counts(folder: str, bits: int):
                     if kind != now:
                         yield from flush(True)
                         now = kind
-                    held.append((keys[mine], counts[mine]))
-            if sum(len(k) for k, _ in held) >= HELD_KEYS:
+                    held.append([keys[mine], counts[mine], before[mine]])
+            if sum(len(x[0]) for x in held) >= HELD_KEYS:
                 yield from flush(False)
         yield from flush(True)
         pairs.close()
@@ -225,12 +238,12 @@ def _write_counts(folder: str, bits: int):
     return run
 
 
-# columns of the words' arrays: two of 64 bits, then four of 32
-_WORD = ("n", "context", "n1", "n2", "n3", "types")
+# columns of the words' arrays: one of 64 bits, then four of 32; a word's count is also its count as a context
+_WORD = ("n", "n1", "n2", "n3", "types")
 
 
 def _write_words(folder: str, bits: int):
-    """Rows of one 32-bit hash after another -> array files of words; rows: those files, and how many words have 1, 2, .. types."""
+    """Rows of words in order -> array files of words; rows: those files, and how many words have 1, 2, .. types."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards = _Shards(folder, bits, "words")
         often = np.zeros(5, np.int64)
@@ -238,9 +251,9 @@ def _write_words(folder: str, bits: int):
         for batch in batches:
             keys = batch.column(0).to_numpy().view(np.uint64)
             columns = [c.to_numpy() for c in batch.columns[1:]]
-            shards.add(keys, columns[:2] + [np.minimum(c, 0xFFFFFFFF).astype(np.uint32) for c in columns[2:]])
+            shards.add(keys, columns[:1] + [np.minimum(c, 0xFFFFFFFF).astype(np.uint32) for c in columns[1:]])
             token = keys != BEGIN
-            types = columns[5][token]
+            types = columns[4][token]
             often += np.bincount(np.minimum(types, 5), minlength=6)[1:]
             counted, total, words = counted + int(columns[0][token].sum()), total + int(types.sum()), words + len(types)
         shards.close()
@@ -300,7 +313,7 @@ class Model:
             if kind == "pairs":
                 columns = [np.memmap(local, np.uint32, "r", 8 * n, (n,))]
             else:
-                columns = [*np.memmap(local, np.uint64, "r", 8 * n, (2, n)), *np.memmap(local, np.uint32, "r", 24 * n, (4, n))]
+                columns = [np.memmap(local, np.uint64, "r", 8 * n, (n,)), *np.memmap(local, np.uint32, "r", 16 * n, (4, n))]
             got = self._open[kind, shard] = (keys, columns)
         return got
 
@@ -319,22 +332,6 @@ class Model:
                 out[k, a:b][hit] = values[column][at[hit]]
         return out
 
-    def contexts(self, ids: np.ndarray) -> np.ndarray:
-        """(context, n1, n2, n3) x ids, for sorted 32-bit words: of the first word with these bits."""
-        out = np.zeros((4, len(ids)), np.int64)
-        low = ids << np.uint64(32)
-        shard = (low >> np.uint64(64 - self.bits)).astype(np.int64)
-        cuts = np.flatnonzero(np.diff(shard, prepend=-1, append=-1))
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            if (got := self.arrays("words", int(shard[a]))) is None:
-                continue
-            keys, values = got
-            at = np.minimum(np.searchsorted(keys, low[a:b]), len(keys) - 1)
-            hit = (keys[at] >> np.uint64(32)) == ids[a:b]
-            for k in range(4):
-                out[k, a:b][hit] = values[k + 1][at[hit]]
-        return out
-
     def lower(self, types: np.ndarray) -> np.ndarray:
         """p(w) from the number of different words before w."""
         if not self.types:
@@ -348,15 +345,14 @@ class Model:
     def score(self, array: pa.Array) -> list[np.ndarray]:
         """n_tokens, n_known, base_score, score of every text."""
         words, at = tokens(array)
-        keys = pair_keys(words, at)
+        keys, before = pair_keys(words, at)
         own, own_at = np.unique(words, return_inverse=True)
-        found = self.find("words", own, (0, 5))
+        found = self.find("words", own, (0, 4))
         count, types = found[0][own_at], found[1]
         base = np.log10((found[0] + 0.5) / (self.train_tokens + 0.5 * (self.vocabulary + 1)))[own_at]
         pairs, pair_first, pair_at = np.unique(keys, return_index=True, return_inverse=True)
-        both = unmix(pairs)
-        ids, id_at = np.unique(both >> np.uint64(32), return_inverse=True)
-        context, n1, n2, n3 = self.contexts(ids)
+        ids, id_at = np.unique(before[pair_first], return_inverse=True)
+        context, n1, n2, n3 = self.find("words", ids, (0, 1, 2, 3))
         c = self.find("pairs", pairs, (0,))[0]
         d = np.array([0.0, *self.pair_discounts])[np.minimum(c, 3)]
         low = self.lower(types)[own_at[pair_first]]
@@ -378,18 +374,12 @@ def train(docs: DataFrame) -> Model:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = shard_bits(size)
     shards = 1 << bits
-    counted = docs.select("text").mapInArrow(_count, "is_word boolean, key long, n long")
+    counted = docs.select("text").mapInArrow(_count, "before long, key long, n long")
     parts = common.stored(
-        counted.repartitionById(shards, _shard(F.col("key"), bits)).sortWithinPartitions("is_word", "key").mapInArrow(
+        counted.repartitionById(shards, _shard(F.col("key"), bits)).sortWithinPartitions(F.col("before").isNull(), "key").mapInArrow(
             _write_counts(folder, bits), _PARTS), "ngram-parts")
-    # words and types meet by the 32-bit hash; where several words share one, each gets all its types
-    words = parts.where("kind = 'word'").select(
-        F.col("id").alias("word"), F.shiftrightunsigned("id", 32).alias("id32"), "n")
-    types = parts.where("kind = 'type'").groupBy(F.col("id").alias("id32")).agg(
-        *[F.sum(c).alias(c) for c in ("n1", "n2", "n3", "types")])
-    contexts = words.groupBy("id32").agg(F.sum("n").alias("context"))
-    rows = words.join(types, "id32", "left").join(contexts, "id32", "left").select(
-        "word", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in _WORD])
+    rows = parts.where("kind IN ('word', 'type')").groupBy(F.col("id").alias("word")).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _WORD])
     made = common.stored(
         rows.repartitionById(shards, _shard(F.col("word"), bits)).sortWithinPartitions("word").mapInArrow(
             _write_words(folder, bits), _PARTS), "ngram-words")
