@@ -18,7 +18,7 @@ from tripflow.llm.queries import QUERIES, SQL  # noqa: E402
 
 def test_registered():
     names = set(entry.queries())
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= names and set(SQL) <= set(entry.oracle_sql())
 
 

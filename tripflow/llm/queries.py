@@ -5,6 +5,7 @@ from __future__ import annotations
 from tripflow.llm import (
     chat_format,
     decontamination,
+    divergence_audit,
     exact_dedup,
     language_id,
     license_scan,
@@ -26,7 +27,8 @@ _JOBS = (
     mixing.op4_mixing,
     exact_dedup.op10_exact_dedup,
     chat_format.op8_chat_format,
+    divergence_audit.op13_divergence_audit,
 )
 
 QUERIES = {job.__name__: job for job in _JOBS}
-SQL = exact_dedup.SQL | chat_format.SQL | mixing.SQL | near_dedup.SQL
+SQL = exact_dedup.SQL | chat_format.SQL | mixing.SQL | near_dedup.SQL | divergence_audit.SQL
