@@ -12,6 +12,7 @@ from tripflow.llm import (
     mixing,
     near_dedup,
     ngram_model,
+    periodic_runs,
     secret_scan,
     token_counts,
 )
@@ -27,8 +28,9 @@ _JOBS = (
     mixing.op4_mixing,
     exact_dedup.op10_exact_dedup,
     chat_format.op8_chat_format,
+    periodic_runs.op11_periodic_runs,
     divergence_audit.op13_divergence_audit,
 )
 
 QUERIES = {job.__name__: job for job in _JOBS}
-SQL = exact_dedup.SQL | chat_format.SQL | mixing.SQL | near_dedup.SQL | divergence_audit.SQL
+SQL = exact_dedup.SQL | chat_format.SQL | mixing.SQL | near_dedup.SQL | periodic_runs.SQL | divergence_audit.SQL
