@@ -15,6 +15,7 @@ from tripflow.llm import (
     periodic_runs,
     secret_scan,
     token_counts,
+    url_filter,
 )
 
 _JOBS = (
@@ -29,8 +30,9 @@ _JOBS = (
     exact_dedup.op10_exact_dedup,
     chat_format.op8_chat_format,
     periodic_runs.op11_periodic_runs,
+    url_filter.op12_url_filter,
     divergence_audit.op13_divergence_audit,
 )
 
 QUERIES = {job.__name__: job for job in _JOBS}
-SQL = exact_dedup.SQL | chat_format.SQL | mixing.SQL | near_dedup.SQL | periodic_runs.SQL | divergence_audit.SQL
+SQL = exact_dedup.SQL | chat_format.SQL | mixing.SQL | near_dedup.SQL | periodic_runs.SQL | url_filter.SQL | divergence_audit.SQL
