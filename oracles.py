@@ -430,6 +430,9 @@ STATIONS_OF = """
 """
 
 USAGE = {
+    "stored_ride_ids": """
+      SELECT strftime(started_at, '%Y-%m') AS year_month, COUNT(DISTINCT ride_id) AS rides
+      FROM trips WHERE position % 9 IN (0, 3) GROUP BY 1""",
     "trip_range": """
       SELECT MIN(started_at) AS min_started_at, MAX(started_at) AS max_started_at,
         COUNT(*) AS n_rows FROM trips""",

@@ -1,0 +1,131 @@
+"""Incremental loads: filters of stored ids, pruned reads, one id a month."""
+
+from __future__ import annotations
+
+import datetime as dt
+import shutil
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+from test_cleaning import LEGACY, MODERN, legacy, modern, write
+
+from tripflow import schema
+from tripflow.plans import load as jobs
+from tripflow.sources import files, key_index, raw, tables
+from tripflow.sources.key_index import KeyIndex
+
+def at():
+    return F.lit("2026-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def ids(spark, first, last, month="2024-01", step=1):
+    return spark.range(first, last, step).select(F.lit(month).alias("month"), F.md5(F.col("id").cast("string")).alias("key"))
+
+
+def store(df, table):
+    df.select(F.col("key").alias("ride_id"), F.col("month").alias("year_month")).write.mode("append") \
+        .partitionBy("year_month").parquet(table)
+
+
+@pytest.fixture
+def index(spark, tmp_path):
+    return KeyIndex(spark, str(tmp_path / "t"), str(tmp_path / "t" / "_ids"), "ride_id", "year_month")
+
+
+def test_no_stored_key_is_missed_and_few_others_are_met(spark, index):
+    store(ids(spark, 0, 20_000), index.table)
+    store(ids(spark, 20_000, 20_500, "2024-02"), index.table)
+    store(spark.createDataFrame([("2024-01", None)], "month string, key string"), index.table)
+    months = ["2024-01", "2024-02"]
+    suspects, _ = index.possible(ids(spark, 0, 20_000).union(ids(spark, 20_000, 20_500, "2024-02")), months)
+    assert suspects.count() == 20_500
+    suspects, _ = index.possible(ids(spark, 100_000, 120_000), months)
+    assert suspects.count() < 800
+    found = index.stored(ids(spark, 10_000, 30_000), months)
+    assert rows(found.agg(F.count("*"), F.min("month"), F.max("month"))) == [(10_000, "2024-01", "2024-01")]
+    # ids of one month are no ids of another
+    assert index.stored(ids(spark, 0, 100, "2024-02"), months).count() == 0
+
+
+def test_only_files_with_a_possible_hit_are_read(spark, index):
+    for part in range(3):
+        store(ids(spark, part * 1000, part * 1000 + 1000).coalesce(1), index.table)
+        index.catch_up(["2024-01"])
+    store(ids(spark, 9000, 9100, "2024-03"), index.table)
+    months = ["2024-01", "2024-03", "2024-09"]
+    batches = index.catch_up(months)
+    assert len(batches["2024-01"]) == 3 and len(batches["2024-03"]) == 1
+    _, paths = index.possible(ids(spark, 1500, 1520).union(ids(spark, 5000, 5002, "2024-03")), months)
+    held = {r.path for r in spark.read.parquet(index.table).where("year_month = '2024-01'").where(
+        F.col("ride_id") == F.md5(F.lit("1500"))).select(F.col("_metadata.file_path").alias("path")).collect()}
+    assert {p.removeprefix("file:").replace("//", "/") for p in held} <= {p.removeprefix("file:").replace("//", "/") for p in paths}
+    assert len(paths) == 1
+    suspects, paths = index.possible(spark.createDataFrame([("2024-09", "x")], "month string, key string"), months)
+    assert suspects.count() == 0 and paths == []
+
+
+def test_index_may_lag_or_be_cut_short(spark, index):
+    store(ids(spark, 0, 50), index.table)                      # a crash before the filters
+    assert index.stored(ids(spark, 40, 60), ["2024-01"]).count() == 10
+    store(ids(spark, 50, 60), index.table)
+    index.catch_up(["2024-01"])
+    for batch in files.subfolders(spark, f"{index.root}/files")[:1]:
+        shutil.rmtree(f"{index.root}/files/{batch}")             # a crash before the list of files
+    assert index.stored(ids(spark, 40, 70), ["2024-01"]).count() == 20
+    shutil.rmtree(f"{index.table}/year_month=2024-01")           # files that are gone
+    assert index.stored(ids(spark, 0, 70), ["2024-01"]).count() == 0
+
+
+def test_many_batches_become_one(spark, index, monkeypatch):
+    monkeypatch.setattr(key_index, "MAX_BATCHES", 2)
+    for part in range(4):
+        store(ids(spark, part * 10, part * 10 + 10), index.table)
+        known = index.catch_up(["2024-01"])
+    assert len(known["2024-01"]) <= 3
+    assert len(index.catch_up(["2024-01"])["2024-01"]) <= 3
+    assert index.stored(ids(spark, 0, 100), ["2024-01"]).count() == 40
+
+
+def test_a_load_scans_the_new_folders_only(spark, tmp_path):
+    csvs, clean = tmp_path / "csv", str(tmp_path / "clean")
+    write(csvs, "201306.csv", LEGACY, [legacy()])
+    write(csvs, "201307 a%b.csv", LEGACY, [legacy(bike="8")])
+    jobs.clean(spark, str(csvs), clean, 2026)
+    names = raw.clean_folders(spark, clean)
+    assert set(names) == {"201306.csv", "201307 a%b.csv"}
+    found = jobs.clean_rows(spark, clean, ["201307 a%b.csv"])
+    assert [(r.bikeid, r.source_file.rsplit("=", 1)[1]) for r in found.collect()] == [("8", "201307 a%b.csv")]
+    assert len(found.inputFiles()) == 1 and "201306" not in found.inputFiles()[0]
+
+
+def test_loads_in_turn(spark, tmp_path):
+    """Each load reads its own files; ids that are stored, or come twice, are not added."""
+    csvs, clean, house = tmp_path / "csv", str(tmp_path / "clean"), jobs.Warehouse(str(tmp_path / "house"))
+    for day in (1, 2, 1):
+        write(csvs, f"{day}.csv", LEGACY, [legacy(start=f"2013-06-0{day} 00:00:01", stop=f"2013-06-0{day} 00:10:01", bike=str(b))
+                                           for b in range(day * 10, day * 10 + 5)])
+        jobs.clean(spark, str(csvs), clean, 2026)
+        jobs.load(spark, clean, house, 2026, at())
+    assert spark.read.parquet(house.trips).count() == 10
+    tables.write_snapshot(spark, house.ledger, spark.createDataFrame([], schema.LEDGER))
+    jobs.load(spark, clean, house, 2026, at())
+    trips = spark.read.parquet(house.trips)
+    assert trips.count() == 10 and trips.columns.count("year_month") == 1
+    assert files.subfolders(spark, f"{house.trips}/_ride_ids") != []
+
+
+def test_a_ride_id_stands_once_in_a_month(spark, tmp_path):
+    from tripflow.operators import cleaning
+
+    write(tmp_path / "csv", "a.csv", MODERN, [
+        modern(ride="R1", start="2024-01-15 10:00:00.250"), modern(ride="R1", start="2024-01-15 10:00:00.750"),
+        modern(ride="R1", start="2024-02-15 10:00:00", stop="2024-02-15 10:30:00")])
+    order = ["_block", "_row"]
+    path = str(tmp_path / "trips")
+    for _ in range(2):
+        trips = cleaning.load_trips(raw.read_raw_csv(spark, str(tmp_path / "csv")), 2026, order, original_ids=True)
+        tables.merge_trips(spark, path, trips, at(), order)
+    found = spark.read.parquet(path).select("year_month", "ride_id", "started_at")
+    assert rows(found) == [("2024-01", "R1", dt.datetime(2024, 1, 15, 10, 0, 0, 250000)),
+                           ("2024-02", "R1", dt.datetime(2024, 2, 15, 10, 0))]

@@ -497,6 +497,20 @@ def ledger_run(spark: SparkSession, sf: str) -> DataFrame:
     return ledger.select(F.substring_index("source_file", "=", -1).alias("source_file"), "records_loaded", "load_date")
 
 
+@query
+def stored_ride_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Of all ride ids, those that a third of the trips have stored, found through the filters of each month."""
+    root = _scratch(spark)
+    rows = X.trips(spark, sf).select("ride_id", C.year_month(F.col("started_at")).alias("year_month"), "position")
+    for part in (0, 3):
+        rows.where(F.col("position") % 9 == part).select("ride_id", "year_month") \
+            .write.mode("append").partitionBy("year_month").parquet(f"{root}/trips")
+    months = [r.year_month for r in rows.select("year_month").distinct().collect()]
+    new = rows.select(F.col("year_month").alias("month"), F.col("ride_id").alias("key")).distinct()
+    found = tables.trip_index(spark, f"{root}/trips").stored(new, months)
+    return found.groupBy(F.col("month").alias("year_month")).agg(F.count("*").alias("rides"))
+
+
 @query
 def extract_run(spark: SparkSession, sf: str) -> DataFrame:
     """Records of the archives of all orders, extracted in two runs that share their header."""

@@ -36,14 +36,14 @@ def first_per_key(df: DataFrame, key: list[str], order: list[str | Column]) -> D
 
 
 def insert_if_absent(
-    current: DataFrame, new: DataFrame, order: list[str | Column]
+    current: DataFrame, new: DataFrame, order: list[str | Column], key: list[str] | None = None
 ) -> DataFrame:
-    """Rows of ``new`` to append: first per (ride_id, started_at), none that is stored already.
+    """Rows of ``new`` to append: first per key (ride_id, started_at), none that is stored already.
 
     Ranking comes first: its group limit leaves one row per key and task before the shuffle, and
     the anti join then runs on the same partitioning without moving the new rows again.
     """
-    key = list(schema.TRIP_KEY)
+    key = list(key or schema.TRIP_KEY)
     return anti_join(first_per_key(new, key, order), current, key)
 
 

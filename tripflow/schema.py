@@ -32,6 +32,8 @@ TRIPS = _struct(
     birth_year=_H, gender=_H, source_file=_S, load_timestamp=_NTZ, year_month=_S,
 )
 TRIP_KEY = ["ride_id", "started_at"]
+# a ride id stands once in a month of the warehouse
+MONTH_KEY = ["year_month", "ride_id"]
 
 STATIONS = _struct(
     station_id=_S, station_name=_S, latitude=_D, longitude=_D, first_seen=_NTZ, last_seen=_NTZ,

@@ -27,8 +27,10 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
 
 
 def list_files(spark: SparkSession, root: str, ending: str) -> list[str]:
-    """Full paths of all files below a root with this ending (any case), sorted."""
+    """Full paths of all files below a root with this ending (any case), sorted; none when it does not exist."""
     fs, target = _open(spark, root)
+    if not fs.exists(target):
+        return []
     found, walk = [], fs.listFiles(target, True)
     while walk.hasNext():
         path = walk.next().getPath()
@@ -37,6 +39,17 @@ def list_files(spark: SparkSession, root: str, ending: str) -> list[str]:
     return sorted(found)
 
 
+def files_in(spark: SparkSession, folders: list[str], ending: str, threads: int = 16) -> dict[str, list[str]]:
+    """Full paths of the files directly in each folder that Spark's readers would see; none without the folder."""
+    def names(folder: str) -> tuple[str, list[str]]:
+        fs, target = _open(spark, folder)
+        found = [s.getPath().toString() for s in fs.listStatus(target)] if fs.exists(target) else []
+        return folder, sorted(p for p in found if p.lower().endswith(ending) and p.rpartition("/")[2][:1] not in ("_", "."))
+
+    with ThreadPoolExecutor(threads) as pool:
+        return dict(pool.map(names, folders))
+
+
 def first_lines(spark: SparkSession, paths: list[str], threads: int = 16) -> dict[str, str]:
     """First line of each file. Reads one buffer per file, as schema inference would."""
     jvm = spark.sparkContext._jvm

@@ -15,6 +15,7 @@ from tripflow import schema
 from tripflow.operators import keyed
 from tripflow.session import ensure_checkpoint_dir
 from tripflow.sources import files
+from tripflow.sources.key_index import KeyIndex
 
 
 def read_table(spark: SparkSession, path: str, view: str | None = None) -> DataFrame:
@@ -53,21 +54,32 @@ def append_trips(rows: DataFrame, path: str) -> None:
         .partitionBy("year_month").parquet(path)
 
 
+def trip_index(spark: SparkSession, path: str) -> KeyIndex:
+    """Filters of the stored ride ids, beside the months of the trips."""
+    return KeyIndex(spark, path, f"{path.rstrip('/')}/_ride_ids", "ride_id", "year_month")
+
+
 def merge_trips(
     spark: SparkSession, path: str, new: DataFrame, loaded_at: Column, order: list[str],
     months: list[str] | None = None,
 ) -> None:
-    """Append the new trips that are not stored yet; reads only the months they fall in.
+    """Append the new trips whose ride id their month doesn't hold; of equal ids the first in order.
 
-    The months of the new rows are a short list (twelve a year), collected to name the folders
-    unless the caller knows them.
+    A ride id stands once in a month (and so does a ride id and its start). Stored files are read, their
+    ids alone, only where the filters of the month say that one of the new ids may be there.
+    ``new`` is read more than once: pass stored rows. The months of the new rows are a short list (twelve a
+    year), collected to name the folders unless the caller knows them.
     """
     if months is None:
         months = [r.year_month for r in new.select("year_month").distinct().collect()]
-    stored = _read_or_empty(spark, path, schema.TRIPS).where(F.col("year_month").isin(months)) \
-        .select(*schema.TRIP_KEY)
-    fresh = keyed.insert_if_absent(stored, new.withColumn("load_timestamp", loaded_at), order)
+    if not months:
+        return
+    index = trip_index(spark, path)
+    ids = new.select(F.col("year_month").alias("month"), F.col("ride_id").alias("key")).distinct()
+    stored = index.stored(ids, months).select(F.col("month").alias("year_month"), F.col("key").alias("ride_id"))
+    fresh = keyed.insert_if_absent(stored, new.withColumn("load_timestamp", loaded_at), order, schema.MONTH_KEY)
     append_trips(fresh.select(*schema.TRIPS.fieldNames()), path)
+    index.catch_up(months)
 
 
 # ---- small tables as versions ----------------------------------------------------------------
