@@ -560,6 +560,13 @@ CLEAN_COLUMNS = """ride_id, rideable_type, started_at, ended_at, start_station_i
   member_casual, tripduration_seconds, bikeid, usertype, birth_year, gender, source_file"""
 
 CLEANING = {
+    "raw_csv_rows": """
+      SELECT source_file, COUNT(*) AS trips, SUM(tripduration_seconds)::BIGINT AS seconds,
+        COUNT(*) FILTER (WHERE l_suppkey = 5 AND l_linenumber <> 4) AS broken_names, NULL::VARCHAR AS error
+      FROM clean WHERE substr(source_file, 5, 2) NOT IN ('07', '11') GROUP BY 1
+      UNION ALL SELECT DISTINCT strftime(l_shipdate, '%Y%m') || '-trips.csv', NULL::BIGINT, NULL::BIGINT, NULL::BIGINT,
+        CASE month(l_shipdate) WHEN 7 THEN 'a row of 19 fields under 18 columns' ELSE 'a quote without end' END
+      FROM lines WHERE month(l_shipdate) IN (7, 11)""",
     "read_clean_rows": """
       SELECT source_file, COUNT(*) AS n, min(started_at) AS first, max(ended_at) AS last FROM clean GROUP BY 1""",
     "load_trips_run": """

@@ -10,7 +10,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow import fixtures as X
@@ -21,9 +21,9 @@ from tripflow.operators import cleaning, keyed, monitoring, quality, scoring, se
 from tripflow.plans import load as load_jobs
 from tripflow.plans.quality_batch import judge_and_store
 from tripflow.session import ensure_checkpoint_dir
-from tripflow.sources import archives, tables
+from tripflow.sources import archives, csv_files, files, tables
 from tripflow.sources.events import read_bronze_since
-from tripflow.sources.raw import files_to_clean, read_clean, write_clean
+from tripflow.sources.raw import files_to_clean, read_clean, read_inspected, write_clean
 from tripflow.streaming import ingest, windows
 from tripflow.streaming import quality as look_back
 
@@ -497,6 +497,27 @@ def ledger_run(spark: SparkSession, sf: str) -> DataFrame:
     return ledger.select(F.substring_index("source_file", "=", -1).alias("source_file"), "records_loaded", "load_date")
 
 
+def _month_file(path: Column) -> Column:
+    return F.regexp_extract(path, "source_file=([^/]+)/", 1)
+
+
+@query
+def raw_csv_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Clean rows of monthly CSV files with line breaks in fields, and the files that are damaged."""
+    root = _scratch(spark)
+    X.write_raw_csv(spark, sf, f"{root}/csv")
+    rows, bad = read_inspected(spark, csv_files.inspect(spark, files.list_files(spark, f"{root}/csv", ".txt")))
+    clean = cleaning.clean_rows(rows, X.THIS_YEAR)
+    counts = clean.groupBy(_month_file(F.col("source_file")).alias("source_file")).agg(
+        F.count("*").alias("trips"), F.sum("tripduration_seconds").cast("bigint").alias("seconds"),
+        F.count_if(F.contains("start_station_name", F.lit("\n"))).alias("broken_names"), F.lit(None).cast("string").alias("error"))
+    none = F.lit(None).cast("bigint")
+    named = spark.createDataFrame(sorted(bad.items()), "path string, error string").select(
+        _month_file(F.col("path")).alias("source_file"), none.alias("trips"), none.alias("seconds"), none.alias("broken_names"),
+        "error")
+    return counts.unionByName(named)
+
+
 @query
 def stored_ride_ids(spark: SparkSession, sf: str) -> DataFrame:
     """Of all ride ids, those that a third of the trips have stored, found through the filters of each month."""

@@ -50,22 +50,17 @@ def files_in(spark: SparkSession, folders: list[str], ending: str, threads: int
         return dict(pool.map(names, folders))
 
 
-def first_lines(spark: SparkSession, paths: list[str], threads: int = 16) -> dict[str, str]:
-    """First line of each file. Reads one buffer per file, as schema inference would."""
-    jvm = spark.sparkContext._jvm
-
-    def read(path: str) -> tuple[str, str]:
-        fs, target = _open(spark, path)
-        stream = fs.open(target)
-        try:
-            reader = jvm.java.io.BufferedReader(
-                jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            return path, reader.readLine() or ""
-        finally:
-            stream.close()
-
-    with ThreadPoolExecutor(threads) as pool:
-        return dict(pool.map(read, paths))
+def tail(spark: SparkSession, path: str, size: int) -> bytes:
+    """The last bytes of a file, read by a seek."""
+    fs, target = _open(spark, path)
+    length = fs.getFileStatus(target).getLen()
+    stream = fs.open(target)
+    try:
+        stream.seek(max(0, length - size))
+        got = [stream.read() for _ in range(min(size, length))]
+        return bytes(b for b in got if b >= 0)
+    finally:
+        stream.close()
 
 
 def remove(spark: SparkSession, path: str) -> None:
