@@ -123,3 +123,26 @@ def test_unmix():
 def test_discounts_of_few_counts():
     assert nm.discounts({}) == (0.5, 1.0, 1.5)
     assert all(0 < d <= k for k, d in enumerate(nm.discounts({1: 10, 2: 5, 3: 3, 4: 2}), 1))
+
+
+def test_counts_above_32_bits(tmp_path):
+    keys = np.array([3, 5 << 50, 1 << 63], np.uint64)
+    counts = np.array([7, (1 << 32) + 5, (1 << 32) - 1])
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 1, 1]), pa.array(common.signed(keys)), pa.array(counts)], ["before", "key", "n"])
+    made = [r for part in nm._write_counts(str(tmp_path), 1)(iter([batch])) for r in part.to_pylist()]
+    files = {r["id"]: (r["path"], r["n"]) for r in made if r["kind"] == "pairs"}
+    large = {r["id"] % (1 << 64): r["n"] for r in made if r["kind"] == "large"}
+    model = nm.Model(1, files, {}, 0, 0, (0.5, 1.0, 1.5), (0.5, 1.0, 1.5), 0, {}, large)
+    assert model.find("pairs", keys, (0,))[0].tolist() == counts.tolist() and len(large) == 2
+
+
+def test_few_files_are_open(spark, monkeypatch):
+    monkeypatch.setattr(nm, "SHARD_BYTES", 1 << 11)
+    docs = read(spark, SF)
+    model = nm.train(docs)
+    assert len(model.pairs) > 100
+    texts = pa.array([r.text for r in docs.limit(20).collect()])
+    wanted = [x.tolist() for x in model.score(texts)]
+    again = nm.Model(**{**model.__getstate__()})
+    monkeypatch.setattr(nm, "OPEN_FILES", 4)
+    assert [x.tolist() for x in again.score(texts)] == wanted and len(again._open) == 4

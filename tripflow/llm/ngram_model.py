@@ -25,8 +25,8 @@ score follow from N = V = 0; an empty table gives no rows. Other columns are not
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
+from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -47,6 +47,10 @@ HELD_TOKENS = 1 << 21
 HELD_KEYS = 1 << 19
 #: bytes of text for one array file, about
 SHARD_BYTES = 1 << 24
+#: in an array of 32-bit counts: the count is among the model's large ones (at most one for each 2 ** 32 tokens)
+LARGE = 0xFFFFFFFF
+#: array files that a worker keeps mapped
+OPEN_FILES = 128
 _INVERSE_1 = np.uint64(pow(0xBF58476D1CE4E5B9, -1, 1 << 64))
 _INVERSE_2 = np.uint64(pow(0x94D049BB133111EB, -1, 1 << 64))
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -200,7 +204,9 @@ def _write_counts(folder: str, bits: int):
             if now:
                 yield _parts("word", id=common.signed(keys), n=counts)
                 return
-            pairs.add(keys, [np.minimum(counts, 0xFFFFFFFF).astype(np.uint32)])
+            pairs.add(keys, [np.minimum(counts, LARGE).astype(np.uint32)])
+            if len(many := np.flatnonzero(counts >= LARGE)):
+                yield _parts("large", id=common.signed(keys[many]), n=counts[many])
             often[:] += np.bincount(np.minimum(counts, 5), minlength=6)[1:]
             ids, place = np.unique(np.concatenate([before, second_words(keys, before)]), return_inverse=True)
             first, second = place[:len(keys)], place[len(keys):]
@@ -238,7 +244,7 @@ def _write_counts(folder: str, bits: int):
     return run
 
 
-# columns of the words' arrays: one of 64 bits, then four of 32; a word's count is also its count as a context
+# columns of the words' arrays, all of 64 bits; a word's count is also its count as a context
 _WORD = ("n", "n1", "n2", "n3", "types")
 
 
@@ -251,7 +257,7 @@ def _write_words(folder: str, bits: int):
         for batch in batches:
             keys = batch.column(0).to_numpy().view(np.uint64)
             columns = [c.to_numpy() for c in batch.columns[1:]]
-            shards.add(keys, columns[:1] + [np.minimum(c, 0xFFFFFFFF).astype(np.uint32) for c in columns[1:]])
+            shards.add(keys, columns)
             token = keys != BEGIN
             types = columns[4][token]
             often += np.bincount(np.minimum(types, 5), minlength=6)[1:]
@@ -290,31 +296,37 @@ class Model:
     type_discounts: tuple[float, float, float]
     types: int
     type_often: dict[int, int]
-    _open: dict = field(default_factory=dict)
+    large: dict[int, int] = field(default_factory=dict)
+    _open: OrderedDict = field(default_factory=OrderedDict)
 
     def __getstate__(self):
-        return {**self.__dict__, "_open": {}}
+        return {**self.__dict__, "_open": OrderedDict()}
 
     def arrays(self, kind: str, shard: int):
-        """Keys and columns of a shard, mapped; None where there is no file."""
+        """Keys and columns of a shard, views of one map; None where there is no file.
+
+        The maps used last stay open, so that a model of any size needs few of them.
+        """
         got = self._open.get((kind, shard))
-        if got is None and shard in (files := getattr(self, kind)):
+        if got is not None:
+            self._open.move_to_end((kind, shard))
+        elif shard in (files := getattr(self, kind)):
             path, n = files[shard]
             store, local = common.opened(path)
-            if not isinstance(store, fs.LocalFileSystem):
-                # a store that can't be mapped: once for each worker process
-                copy = tempfile.NamedTemporaryFile(prefix="ngrams-")
-                with store.open_input_stream(local) as data:
-                    while block := data.read(1 << 22):
-                        copy.write(block)
-                copy.flush()
-                self._open[kind, shard, "copy"], local = copy, copy.name
-            keys = np.memmap(local, np.uint64, "r", 0, (n,))
+            if isinstance(store, fs.LocalFileSystem):
+                data = np.memmap(local, np.uint8, "r")
+            else:
+                # a store that can't be mapped: read when it is needed
+                with store.open_input_stream(local) as stream:
+                    data = np.frombuffer(stream.read(), np.uint8)
+            keys, rest = data[:8 * n].view(np.uint64), data[8 * n:]
             if kind == "pairs":
-                columns = [np.memmap(local, np.uint32, "r", 8 * n, (n,))]
+                columns = [rest.view(np.uint32)]
             else:
-                columns = [np.memmap(local, np.uint64, "r", 8 * n, (n,)), *np.memmap(local, np.uint32, "r", 16 * n, (4, n))]
+                columns = list(rest.view(np.int64).reshape(len(_WORD), n))
             got = self._open[kind, shard] = (keys, columns)
+            if len(self._open) > OPEN_FILES:
+                self._open.popitem(last=False)
         return got
 
     def find(self, kind: str, sought: np.ndarray, columns: tuple[int, ...]) -> np.ndarray:
@@ -330,6 +342,9 @@ class Model:
             hit = keys[at] == sought[a:b]
             for k, column in enumerate(columns):
                 out[k, a:b][hit] = values[column][at[hit]]
+        if kind == "pairs" and self.large:
+            for place in np.flatnonzero(out[0] == LARGE):
+                out[0, place] = self.large[int(sought[place])]
         return out
 
     def lower(self, types: np.ndarray) -> np.ndarray:
@@ -375,9 +390,10 @@ def train(docs: DataFrame) -> Model:
     bits = shard_bits(size)
     shards = 1 << bits
     counted = docs.select("text").mapInArrow(_count, "before long, key long, n long")
-    parts = common.stored(
-        counted.repartitionById(shards, _shard(F.col("key"), bits)).sortWithinPartitions(F.col("before").isNull(), "key").mapInArrow(
-            _write_counts(folder, bits), _PARTS), "ngram-parts")
+    with common.shuffles_released(spark):
+        parts = common.stored(
+            counted.repartitionById(shards, _shard(F.col("key"), bits)).sortWithinPartitions(F.col("before").isNull(), "key").mapInArrow(
+                _write_counts(folder, bits), _PARTS), "ngram-parts")
     rows = parts.where("kind IN ('word', 'type')").groupBy(F.col("id").alias("word")).agg(
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _WORD])
     made = common.stored(
@@ -398,8 +414,9 @@ def _model(bits: int, parts: DataFrame, made: DataFrame) -> Model:
     sums = made.where("kind = 'sum'").agg(
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "types", "id")]).first()
     type_often = often(made)
+    large = {r.id % (1 << 64): r.n for r in parts.where("kind = 'large'").select("id", "n").collect()}
     return Model(bits, files(parts, "pairs"), files(made, "words"), sums.n, sums.id, discounts(often(parts)),
-                 discounts(type_often), sums.types, type_often)
+                 discounts(type_often), sums.types, type_often, large)
 
 
 _SCORES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
