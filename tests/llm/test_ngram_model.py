@@ -126,14 +126,17 @@ def test_discounts_of_few_counts():
 
 
 def test_counts_above_32_bits(tmp_path):
-    keys = np.array([3, 5 << 50, 1 << 63], np.uint64)
+    before, words = np.array([3, 3, 1 << 63], np.uint64), np.array([5, 9 << 58, 7], np.uint64)
     counts = np.array([7, (1 << 32) + 5, (1 << 32) - 1])
-    batch = pa.RecordBatch.from_arrays([pa.array([1, 1, 1]), pa.array(common.signed(keys)), pa.array(counts)], ["before", "key", "n"])
+    batch = pa.RecordBatch.from_arrays([pa.array(common.signed(before)), pa.array(common.signed(words)), pa.array(counts)],
+                                       ["before", "word", "n"])
     made = [r for part in nm._write_counts(str(tmp_path), 1)(iter([batch])) for r in part.to_pylist()]
     files = {r["id"]: (r["path"], r["n"]) for r in made if r["kind"] == "pairs"}
     large = {r["id"] % (1 << 64): r["n"] for r in made if r["kind"] == "large"}
     model = nm.Model(1, files, {}, 0, 0, (0.5, 1.0, 1.5), (0.5, 1.0, 1.5), 0, {}, large)
-    assert model.find("pairs", keys, (0,))[0].tolist() == counts.tolist() and len(large) == 2
+    keys = common.mix(common.mix(before, 1) + words)
+    found = model.find("pairs", keys, (0,), nm.pair_shards(before, words, 1))
+    assert found[0].tolist() == counts.tolist() and len(large) == 2 == len(files)
 
 
 def test_few_files_are_open(spark, monkeypatch):

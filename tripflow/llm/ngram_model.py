@@ -42,11 +42,11 @@ from tripflow.llm import common
 END = np.uint64(0xE4D0000000000001)
 BEGIN = np.uint64(0xBE61000000000002)
 #: tokens whose pairs a task sums before it hands them on
-HELD_TOKENS = 1 << 21
+HELD_TOKENS = 1 << 22
 #: words or pairs that a writer of arrays sums at once
 HELD_KEYS = 1 << 19
 #: bytes of text for one array file, about
-SHARD_BYTES = 1 << 24
+SHARD_BYTES = 1 << 25
 #: in an array of 32-bit counts: the count is among the model's large ones (at most one for each 2 ** 32 tokens)
 LARGE = 0xFFFFFFFF
 #: array files that a worker keeps mapped
@@ -97,6 +97,11 @@ def _shard(key, bits: int):
     return F.shiftrightunsigned(key, 64 - bits).cast("int")
 
 
+def pair_shards(before: np.ndarray, words: np.ndarray, bits: int) -> np.ndarray:
+    """Array file of each pair: the highest bits of its two words' hashes, one xor the other."""
+    return ((before ^ words) >> np.uint64(64 - bits)).astype(np.int64)
+
+
 def shard_bits(text_bytes: int) -> int:
     """Array files are 2 ** bits for each kind; at least two."""
     return max(1, math.ceil(math.log2(max(1, text_bytes / SHARD_BYTES))))
@@ -111,16 +116,17 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = np.unique(np.concatenate(words), return_counts=True)
         words.clear()
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(keys), pa.int64()), pa.array(common.signed(keys)), pa.array(counts)], ["before", "key", "n"])
+            [pa.nulls(len(keys), pa.int64()), pa.array(common.signed(keys)), pa.array(counts)], ["before", "word", "n"])
         keys, first, counts = np.unique(np.concatenate(pairs), return_index=True, return_counts=True)
         pairs.clear()
         before = np.concatenate(befores)[first]
         befores.clear()
-        # equal predecessors side by side: shuffled in this order they take little space
+        # two words, not the pair's hash, and equal predecessors side by side: both repeat, so they take little space
+        second = second_words(keys, before)
         order = np.argsort(before)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(common.signed(before[order])), pa.array(common.signed(keys[order])), pa.array(counts[order])],
-            ["before", "key", "n"])
+            [pa.array(common.signed(before[order])), pa.array(common.signed(second[order])), pa.array(counts[order])],
+            ["before", "word", "n"])
 
     for batch in batches:
         for piece in common.pieces(batch, "text"):
@@ -139,15 +145,16 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class _Shards:
-    """Writes sorted arrays, one file for each run of keys with equal highest bits."""
+    """Writes sorted arrays, one file for each run of equal shards (else of keys with equal highest bits)."""
 
     def __init__(self, folder: str, bits: int, name: str):
         self.folder, self.bits, self.name = folder, bits, name
         self.now, self.held, self.done = None, [], []
 
-    def add(self, keys: np.ndarray, columns: list[np.ndarray]) -> None:
-        """Keys are sorted and distinct, here and from call to call."""
-        shard = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+    def add(self, keys: np.ndarray, columns: list[np.ndarray], shard: np.ndarray | None = None) -> None:
+        """Keys are sorted within a shard and distinct, here and from call to call."""
+        if shard is None:
+            shard = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
         cuts = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(keys)]
         for a, b in zip(cuts, cuts[1:], strict=False):
             if a == b:
@@ -193,53 +200,67 @@ def _summed(keys: np.ndarray, counts: np.ndarray, *others: np.ndarray) -> list[n
 
 
 def _write_counts(folder: str, bits: int):
-    """Sorted (before, key, n), pairs before words -> array files of pairs; rows: those files, words with counts, and for each
-    word the pairs it begins by count (n1, n2, n3) and the pairs it ends (types), as far as this task has them."""
+    """(before, word, n) in order, pairs before words -> array files of pairs; rows: those files, words with counts, and for each
+    word the pairs it begins by count (n1, n2, n3) and the pairs it ends (types), as far as this task has them.
+
+    The pairs of a task, which are those of one array file, are held until they are put in the order of their hashes.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = _Shards(folder, bits, "pairs")
+        files = _Shards(folder, bits, "pairs")
         often = np.zeros(5, np.int64)
-        now, held = False, []
+        now, held, pairs = False, [], []
 
-        def give(keys: np.ndarray, counts: np.ndarray, before: np.ndarray) -> Iterator[pa.RecordBatch]:
+        def flush(all_of_it: bool) -> Iterator[pa.RecordBatch]:
+            """Sum what is held; the last key may go on in the next batch."""
+            if not held:
+                return
+            columns = _summed(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            upto = len(columns[0]) - (0 if all_of_it else 1)
+            held[:] = [] if all_of_it else [[x[upto:] for x in columns]]
             if now:
-                yield _parts("word", id=common.signed(keys), n=counts)
+                yield _parts("word", id=common.signed(columns[0][:upto]), n=columns[1][:upto])
+            else:
+                pairs.append([x[:upto] for x in columns])
+
+        def close() -> Iterator[pa.RecordBatch]:
+            """The pairs in the order of shard and hash."""
+            if not pairs:
                 return
-            pairs.add(keys, [np.minimum(counts, LARGE).astype(np.uint32)])
-            if len(many := np.flatnonzero(counts >= LARGE)):
-                yield _parts("large", id=common.signed(keys[many]), n=counts[many])
+            keys, counts, before = (np.concatenate(x) for x in zip(*pairs, strict=True))
+            pairs.clear()
+            second = second_words(keys, before)
+            shard = pair_shards(before, second, bits)
             often[:] += np.bincount(np.minimum(counts, 5), minlength=6)[1:]
-            ids, place = np.unique(np.concatenate([before, second_words(keys, before)]), return_inverse=True)
+            ids, place = np.unique(np.concatenate([before, second]), return_inverse=True)
             first, second = place[:len(keys)], place[len(keys):]
             found = [np.bincount(first[mask], minlength=len(ids)) for mask in (counts == 1, counts == 2, counts > 2)]
             yield _parts("type", id=common.signed(ids), n1=found[0], n2=found[1], n3=found[2],
                          types=np.bincount(second, minlength=len(ids)))
-
-        def flush(all_of_it: bool) -> Iterator[pa.RecordBatch]:
-            """Hand on what is held; the last key may go on in the next batch."""
-            if not held:
-                return
-            columns = _summed(*(np.concatenate(x) for x in zip(*held, strict=True)))
-            upto = len(columns[0]) - (0 if all_of_it else 1)
-            held[:] = [] if all_of_it else [[x[upto:] for x in columns]]
-            yield from give(*(x[:upto] for x in columns))
+            order = np.lexsort((keys, shard))
+            files.add(keys[order], [np.minimum(counts, LARGE).astype(np.uint32)[order]], shard[order])
+            if len(many := np.flatnonzero(counts >= LARGE)):
+                yield _parts("large", id=common.signed(keys[many]), n=counts[many])
 
         for batch in batches:
             is_word = batch.column(0).is_null().to_numpy(zero_copy_only=False)
             before = batch.column(0).fill_null(0).to_numpy().view(np.uint64)
-            keys, counts = batch.column(1).to_numpy().view(np.uint64), batch.column(2).to_numpy()
+            words, counts = batch.column(1).to_numpy().view(np.uint64), batch.column(2).to_numpy()
             for kind in (False, True):
                 mine = is_word == kind
                 if mine.any():
                     if kind != now:
                         yield from flush(True)
+                        yield from close()
                         now = kind
-                    held.append([keys[mine], counts[mine], before[mine]])
+                    keys = words[mine] if kind else common.mix(common.mix(before[mine], 1) + words[mine])
+                    held.append([keys, counts[mine], before[mine]])
             if sum(len(x[0]) for x in held) >= HELD_KEYS:
                 yield from flush(False)
         yield from flush(True)
-        pairs.close()
-        yield _parts("pairs", id=[s for s, _, _ in pairs.done], n=[n for _, _, n in pairs.done],
-                     path=[p for _, p, _ in pairs.done])
+        yield from close()
+        files.close()
+        yield _parts("pairs", id=[s for s, _, _ in files.done], n=[n for _, _, n in files.done],
+                     path=[p for _, p, _ in files.done])
         yield _parts("often", id=np.arange(1, 6), n=often)
     return run
 
@@ -329,10 +350,18 @@ class Model:
                 self._open.popitem(last=False)
         return got
 
-    def find(self, kind: str, sought: np.ndarray, columns: tuple[int, ...]) -> np.ndarray:
+    def find(self, kind: str, sought: np.ndarray, columns: tuple[int, ...], shard: np.ndarray | None = None) -> np.ndarray:
         """Columns x sought: values of sorted keys, 0 where a key isn't there."""
+        if shard is not None:
+            order = np.lexsort((sought, shard))
+            out = np.empty((len(columns), len(sought)), np.int64)
+            out[:, order] = self._find(kind, sought[order], columns, shard[order])
+            return out
+        return self._find(kind, sought, columns, (sought >> np.uint64(64 - self.bits)).astype(np.int64))
+
+    def _find(self, kind: str, sought: np.ndarray, columns: tuple[int, ...], shard: np.ndarray) -> np.ndarray:
+        """The same for keys in the order of shard and key."""
         out = np.zeros((len(columns), len(sought)), np.int64)
-        shard = (sought >> np.uint64(64 - self.bits)).astype(np.int64)
         cuts = np.flatnonzero(np.diff(shard, prepend=-1, append=-1))
         for a, b in zip(cuts, cuts[1:], strict=False):
             if (got := self.arrays(kind, int(shard[a]))) is None:
@@ -368,7 +397,7 @@ class Model:
         pairs, pair_first, pair_at = np.unique(keys, return_index=True, return_inverse=True)
         ids, id_at = np.unique(before[pair_first], return_inverse=True)
         context, n1, n2, n3 = self.find("words", ids, (0, 1, 2, 3))
-        c = self.find("pairs", pairs, (0,))[0]
+        c = self.find("pairs", pairs, (0,), pair_shards(before[pair_first], words[pair_first], self.bits))[0]
         d = np.array([0.0, *self.pair_discounts])[np.minimum(c, 3)]
         low = self.lower(types)[own_at[pair_first]]
         d1, d2, d3 = self.pair_discounts
@@ -389,10 +418,11 @@ def train(docs: DataFrame) -> Model:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = shard_bits(size)
     shards = 1 << bits
-    counted = docs.select("text").mapInArrow(_count, "before long, key long, n long")
+    counted = docs.select("text").mapInArrow(_count, "before long, word long, n long")
+    shard = _shard(F.coalesce("before", F.lit(0).cast("long")).bitwiseXOR(F.col("word")), bits)
     with common.shuffles_released(spark):
         parts = common.stored(
-            counted.repartitionById(shards, _shard(F.col("key"), bits)).sortWithinPartitions(F.col("before").isNull(), "key").mapInArrow(
+            counted.repartitionById(shards, shard).sortWithinPartitions(F.col("before").isNull(), "before", "word").mapInArrow(
                 _write_counts(folder, bits), _PARTS), "ngram-parts")
     rows = parts.where("kind IN ('word', 'type')").groupBy(F.col("id").alias("word")).agg(
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _WORD])
