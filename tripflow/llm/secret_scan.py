@@ -157,10 +157,14 @@ def is_novel(candidate: str, around: str) -> bool:
 
 
 def novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    out = []
+    out, at, upto = [], 0, 0
     for found in CANDIDATE.finditer(text):
         begin, end = found.span()
-        if any(a < end and begin < b for a, _, b in base):
+        # both lists rise: the furthest end of all base spans that begin before this one's
+        while at < len(base) and base[at][0] < end:
+            upto = max(upto, base[at][2])
+            at += 1
+        if begin < upto:
             continue
         word = found[0]
         if not (re.search(r"[0-9]", word) and re.search(r"[A-Za-z]", word)):
