@@ -149,6 +149,36 @@ def test_windows_equal_batch_statistics(spark, tmp_path):
         assert mine == theirs
 
 
+def test_windows_of_a_new_checkpoint(spark, tmp_path):
+    """A new checkpoint over the same folder: its windows count, although its batches begin at 0 again."""
+    source, path = str(tmp_path / "in"), str(tmp_path / "windows")
+    events = X.table(spark, SF, "events")
+    cuts = events.approxQuantile("event_id", [0.3, 0.6, 0.9], 0.0)
+
+    def add(low, high):
+        events.where((F.col("event_id") > low) & (F.col("event_id") <= high)).coalesce(1).write.mode("append").parquet(source)
+
+    def stream(checkpoint, files):
+        raw = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(source)
+        windows.store_windows(windows.daily_stream(score_stream(X.as_trip_events(raw)), "400 days"), path,
+                              str(tmp_path / checkpoint), available_now=True).awaitTermination()
+        return rows(windows.read_windows(spark, path).select("date", "trips_processed", "valid_count"))
+
+    def whole():
+        stored = score_stream(X.as_trip_events(spark.read.parquet(source)))
+        return rows(quality.quality_summary(stored).select(
+            F.col("date").cast("timestamp").alias("date"), F.col("total_trips"), F.col("valid_trips")))
+
+    for low, high in zip([-1, *cuts], cuts):
+        add(low, high)
+    first = stream("one", 1)
+    assert first == whole()
+    add(cuts[-1], 1 << 40)
+    second = stream("two", 1000)
+    assert second == whole() and sum(r[1] for r in second) == events.count() > sum(r[1] for r in first)
+    assert stream("one", 1) == whole()                       # the first goes on where it was
+
+
 def test_no_loss_between_sent_and_stored(spark):
     events = X.trip_events(spark, SF)
     kept, poison = keyed.quarantine(score_stream(events, keep_parsed=True))

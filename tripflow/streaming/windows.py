@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripflow.functions import quality as Q
+from tripflow.sources import tables
 
 
 def windowed_stats(
@@ -35,11 +36,13 @@ def daily_stream(scored: DataFrame, delay: str = "10 minutes") -> DataFrame:
 def store_windows(stats: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
     """Store every window that a micro-batch changes, open ones too; a repeated batch replaces itself.
 
-    Only windows that the watermark leaves open stay in the state.
+    Only windows that the watermark leaves open stay in the state. A batch is its query's id and its number: a new
+    checkpoint begins at number 0 again, and adds to what an earlier one has stored.
     """
-    def run(changed: DataFrame, batch: int) -> None:
-        changed.withColumn("batch", F.lit(f"{batch:012d}")).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+    def run(changed: DataFrame, number: int) -> None:
+        query = changed.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+        changed.withColumns({"stored_at": F.current_timestamp(), "batch": F.lit(tables.batch_key(query, number))}) \
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
 
     writer = stats.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(run)
     if available_now:
@@ -48,8 +51,13 @@ def store_windows(stats: DataFrame, path: str, checkpoint: str, available_now: b
 
 
 def read_windows(spark: SparkSession, path: str) -> DataFrame:
-    """The last stored state of every window (its column is the first one)."""
+    """The last stored state of every window (its column is the first one).
+
+    A new checkpoint reads its source from the beginning, so its windows count in place of those of an earlier
+    one; windows that it hasn't reached yet stay as they were.
+    """
     rows = spark.read.parquet(path)
     key = rows.columns[0]
-    others = [c for c in rows.columns if c not in (key, "batch")]
-    return rows.groupBy(key).agg(F.max_by(F.struct(*others), "batch").alias("last")).select(key, "last.*")
+    others = [c for c in rows.columns if c not in (key, "stored_at", "batch")]
+    return rows.groupBy(key).agg(F.max_by(F.struct(*others), F.struct("stored_at", "batch")).alias("last")) \
+        .select(key, "last.*")
