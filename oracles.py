@@ -235,6 +235,12 @@ QUALITY = {
       SELECT trip_id, score::BIGINT AS quality_score, issues AS quality_issues,
         score >= 50 AS is_valid FROM stream
       WHERE bike_type <> 'classic' AND s IS NOT NULL AND d IS NOT NULL AND age IS NOT NULL""",
+    "bronze_packed_rows": """
+      SELECT trip_id, score::BIGINT AS quality_score, issues AS quality_issues, score >= 50 AS is_valid
+      FROM stream WHERE s IS NOT NULL AND d IS NOT NULL AND age IS NOT NULL""",
+    "bronze_since_bounds": """
+      SELECT trip_id, score::BIGINT AS quality_score, issues AS quality_issues, score >= 50 AS is_valid
+      FROM stream WHERE s IS NOT NULL AND d IS NOT NULL AND age IS NOT NULL AND member = 'member'""",
     "rejected_rows": "SELECT trip_id FROM stream WHERE bike_type = 'classic'",
     "upsert_metadata": """
       , keyed AS (
@@ -668,5 +674,5 @@ def sql() -> dict[str, str]:
         for prefix, queries in groups for name, text in queries.items()
     }
     same = {"metadata_after_fold": "upsert_metadata", "bronze_since_rows": "bronze_rows",
-            "quality_stream_rows": "silver_rows"}
+            "quality_stream_rows": "silver_rows", "hourly_late": "hourly_stream"}
     return found | PLAIN | {name: found[other] for name, other in same.items()}

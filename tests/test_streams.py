@@ -184,3 +184,29 @@ def test_no_loss_between_sent_and_stored(spark):
     kept, poison = keyed.quarantine(score_stream(events, keep_parsed=True))
     row = quality.reconcile(events, kept.unionByName(poison)).first()
     assert (row.lost, float(row.loss_percentage)) == (0, 0.0) and row.sent == events.count()
+
+
+def test_late_rows_add_to_closed_windows(spark, tmp_path):
+    """Sums of batches: rows a month late count, folds and a repeated batch change nothing, windows add up to all rows."""
+    source, path = str(tmp_path / "in"), str(tmp_path / "windows")
+    events = X.table(spark, SF, "events")
+    cuts = [1 << 40, *reversed(events.approxQuantile("event_id", [0.25, 0.5, 0.75], 0.0)), -1]
+
+    def stream(checkpoint, **options):
+        raw = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        windows.store_sums(score_stream(X.as_trip_events(raw)), path, str(tmp_path / checkpoint),
+                           available_now=True, **options).awaitTermination()
+        return rows(windows.read_sums(spark, path))
+
+    def whole():
+        return rows(quality.hourly_stats(score_stream(X.as_trip_events(spark.read.parquet(source)))).select(
+            F.col("hour").cast("timestamp"), "trips_processed", "avg_quality", "valid_count", "invalid_count"))
+
+    for high, low in zip(cuts, cuts[1:]):  # the last events come first
+        events.where((F.col("event_id") > low) & (F.col("event_id") <= high)).coalesce(1).write.mode("append").parquet(source)
+        got = stream("one", fold_every=2)
+        assert got == whole()
+    assert sum(r[1] for r in got) == events.count()
+    assert windows.fold_sums(spark, path) and rows(windows.read_sums(spark, path)) == got
+    assert not windows.fold_sums(spark, path) and list((tmp_path / "windows" / "sums").glob("batch=*")) == []
+    assert stream("two") == got  # a new checkpoint over the same rows counts none of them twice

@@ -7,6 +7,7 @@ floats as double, lists as joined text, dates as text.
 from __future__ import annotations
 
 import datetime as dt
+import time
 import uuid
 from collections.abc import Callable
 
@@ -21,7 +22,7 @@ from tripflow.operators import cleaning, keyed, monitoring, quality, scoring, se
 from tripflow.plans import load as load_jobs
 from tripflow.plans.quality_batch import judge_and_store
 from tripflow.session import ensure_checkpoint_dir
-from tripflow.sources import archives, csv_files, files, tables
+from tripflow.sources import archives, bronze, csv_files, files, tables
 from tripflow.sources.events import read_bronze_since
 from tripflow.sources.raw import files_to_clean, read_clean, read_inspected, write_clean
 from tripflow.streaming import ingest, windows
@@ -354,6 +355,25 @@ def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
         .parquet(sf)
 
 
+@query
+def hourly_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Hourly statistics of a stream whose second half of rows comes first, folded between its two runs."""
+    root = _scratch(spark)
+    events = X.table(spark, sf, "events")
+    half = F.lit("2024-01-16").cast("timestamp_ntz")
+
+    def arrive(rows: DataFrame) -> None:
+        rows.write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{root}/in")
+        windows.store_sums(scoring.score_stream(X.as_trip_events(stream)), f"{root}/windows", f"{root}/checkpoint",
+                           available_now=True).awaitTermination()
+
+    arrive(events.where(F.col("ts") >= half))
+    windows.fold_sums(spark, f"{root}/windows")
+    arrive(events.where(F.col("ts") < half))
+    return windows.read_sums(spark, f"{root}/windows")
+
+
 @query
 def ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Runs the ingest over all events as JSON bodies, then reads the metadata it stored."""
@@ -417,7 +437,38 @@ def _sinks(spark: SparkSession, sf: str) -> ingest.Sinks:
 
 @query
 def bronze_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return tables.read_table(spark, _sinks(spark, sf).bronze, "bronze").select(
+    return bronze.read_bronze(spark, _sinks(spark, sf).bronze).select(
+        "trip_id", "quality_score", "quality_issues", "is_valid")
+
+
+def _packed(spark: SparkSession, sf: str) -> tuple[str, int]:
+    """Bronze of two batches, the first (members) packed and its folder removed, and the time between the two."""
+    path = f"{_scratch(spark)}/bronze"
+    # the time of bronze rows is the start of the trip, whether the score could use it or not
+    scored = ingest.split_events(ingest.score_events(X.trip_events(spark, sf).withColumn("_rejected", F.lit(None).cast("string")), queued=True))[0]
+    member = F.coalesce(F.col("member_casual") == "member", F.lit(False))
+    tables.write_bronze(scored.where(member), path, tables.batch_key("run", 0))
+    time.sleep(1.1)
+    between = time.time_ns() // 1000
+    time.sleep(1.1)
+    for _ in range(2):
+        bronze.compact_bronze(spark, path, keep_minutes=0)
+    tables.write_bronze(scored.where(~member), path, tables.batch_key("run", 1))
+    return path, between
+
+
+@query
+def bronze_packed_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """All stored events, of a packed batch and of one in its own folders."""
+    return bronze.read_bronze(spark, _packed(spark, sf)[0]).select(
+        "trip_id", "quality_score", "quality_issues", "is_valid")
+
+
+@query
+def bronze_since_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Look-back that ends between two batches: the first one, found in the packed parts, and none of the second."""
+    path, between = _packed(spark, sf)
+    return read_bronze_since(spark, path, F.timestamp_micros(F.lit(between)), 60).select(
         "trip_id", "quality_score", "quality_issues", "is_valid")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tripflow import schema
 from tripflow.functions import parsing as P
 from tripflow.functions.once import compute_once
+from tripflow.sources import bronze
 
 
 # bounds of a micro-batch, so that a backlog comes in pieces
@@ -79,10 +80,20 @@ def read_bronze_since(
 ) -> DataFrame:
     """Stored events of files written in the last minutes, both ends included.
 
-    The bounds are on file metadata, so files outside them are dropped from the scan unopened.
-    Adds the file's path, size and time. Without a ``layout`` JSON files are all read once more to
-    infer one; give it where the folder is large.
+    A bronze folder with an index of arrivals (see :mod:`tripflow.sources.bronze`) is listed only where the bounds
+    ask for it. In other folders the bounds are on file metadata: all files are listed, those outside the bounds are
+    dropped from the scan unopened. Adds the file's path, size and time. Without a ``layout`` JSON
+    files of a folder without an index are all read once more to infer one.
     """
+    upper = as_of.cast("timestamp")
+    lower = upper - F.make_dt_interval(mins=F.lit(minutes))
+    if bronze.has_index(spark, root):
+        # the bounds name the folders, so their values are needed now
+        first, last = spark.range(1).select(F.unix_micros(lower), F.unix_micros(upper)).first()
+        lower, upper = F.timestamp_micros(F.lit(first)), F.timestamp_micros(F.lit(last))
+        rows = bronze.read_between(spark, root, first // 1000, last // 1000, form, layout)
+        written = F.col("_last_modified")
+        return rows.where((written >= lower) & (written <= upper))
     # a file may be gone by now (compacted); a damaged one fails the read, it is never half read
     reader = spark.read.option("ignoreMissingFiles", True)
     if form == "json":
@@ -92,8 +103,6 @@ def read_bronze_since(
         reader = reader.schema(layout)
     rows = reader.format(form).load(root)
     written = F.col("_metadata.file_modification_time")
-    upper = as_of.cast("timestamp")
-    lower = upper - F.make_dt_interval(mins=F.lit(minutes))
     return rows.where((written >= lower) & (written <= upper)).select(
         *[c for c in rows.columns if c != "_corrupt_record"],
         F.col("_metadata.file_path").alias("_file_path"),

@@ -7,6 +7,8 @@ and never the table.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +16,8 @@ from pyspark.sql import types as T
 from tripflow import schema
 from tripflow.operators import keyed
 from tripflow.session import ensure_checkpoint_dir
-from tripflow.sources import files
+from tripflow.sources import files, log
+from tripflow.sources.bronze import note_arrival
 from tripflow.sources.key_index import KeyIndex
 
 
@@ -148,26 +151,30 @@ def append_metadata(rows: DataFrame, root: str, batch: str) -> None:
         .partitionBy("batch").parquet(f"{root}/arrivals")
 
 
-_BATCHES = T.StructType([T.StructField("batch", T.StringType())])
-
-
-def _folded_batches(spark: SparkSession, root: str) -> set[str]:
-    """Batches whose arrivals are in the last fold; a name for each batch since the fold before it."""
-    return {r.batch for r in read_snapshot(spark, f"{root}/folded_batches", _BATCHES).collect()}
+def _arrived(spark: SparkSession, root: str, done: dict[str, int]) -> list[str]:
+    """Batches with arrivals that the fold doesn't hold."""
+    names = {f.split("=", 1)[1] for f in files.subfolders(spark, f"{root}/arrivals") if f.startswith("batch=")}
+    return sorted(n for n in names if not log.is_done(n, done))
 
 
-def _arrived(spark: SparkSession, root: str) -> list[str]:
-    """Batches with arrivals that the last fold doesn't hold."""
-    names = {f.split("=", 1)[1] for f in files.subfolders(spark, f"{root}/arrivals") if f.startswith("batch=")}
-    return sorted(names - _folded_batches(spark, root))
+def _fold(spark: SparkSession, root: str, state: dict) -> DataFrame:
+    """The fold that a version names."""
+    if not state:
+        return spark.createDataFrame([], schema.TRIP_METADATA)
+    return spark.read.schema(schema.TRIP_METADATA).parquet(f"{root}/folded/{state['fold']}")
 
 
-def _metadata_parts(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame | None]:
-    """Last fold, and the arrivals after it, NULL where there are none."""
-    folded, arrived = read_snapshot(spark, f"{root}/folded", schema.TRIP_METADATA), _arrived(spark, root)
+def _metadata(spark: SparkSession, root: str, state: dict, arrived: list[str], refresh_valid: bool) -> DataFrame:
+    folded = _fold(spark, root, state)
     if not arrived:
-        return folded, None
-    return folded, spark.read.schema(ARRIVALS).parquet(f"{root}/arrivals").where(F.col("batch").isin(arrived))
+        return folded
+    # only the folders of these batches: others may be going away
+    arrivals = spark.read.schema(ARRIVALS).option("basePath", f"{root}/arrivals") \
+        .parquet(*[f"{root}/arrivals/batch={batch}" for batch in arrived])
+    ids = arrivals.select("trip_id").distinct()
+    again = folded.join(ids, "trip_id", "left_semi").select(*folded.columns)
+    changed = keyed.upsert_metadata(again, arrivals, ARRIVAL_ORDER, refresh_valid)
+    return keyed.anti_join(folded, ids, ["trip_id"]).unionByName(changed)
 
 
 def read_metadata(spark: SparkSession, root: str, refresh_valid: bool = False) -> DataFrame:
@@ -176,28 +183,36 @@ def read_metadata(spark: SparkSession, root: str, refresh_valid: bool = False) -
     Only trips that have arrived since are folded again; all others come from the stored fold as they
     are, so filters and columns reach its files, and nothing of it is sorted or aggregated.
     """
-    folded, arrivals = _metadata_parts(spark, root)
-    if arrivals is None:
-        return folded
-    ids = arrivals.select("trip_id").distinct()
-    again = folded.join(ids, "trip_id", "left_semi").select(*folded.columns)
-    changed = keyed.upsert_metadata(again, arrivals, ARRIVAL_ORDER, refresh_valid)
-    return keyed.anti_join(folded, ids, ["trip_id"]).unionByName(changed)
+    state = log.VersionLog(spark, root).latest()[1]
+    return _metadata(spark, root, state, _arrived(spark, root, state.get("done", {})), refresh_valid)
 
 
-def fold_metadata(spark: SparkSession, root: str) -> None:
-    """Fold all finished batches into the next stored version.
+def fold_metadata(spark: SparkSession, root: str) -> bool:
+    """Fold all finished batches into the next version; whether one was put.
 
-    Call it between batches. Arrivals that the version before already held are removed now, not at
-    once, so that a reader of that version keeps its files.
+    One log entry names the fold and, for each run, the last batch in it, so rows and batches change together: a crash
+    before it leaves the version as it was, and of two writers one is void. Arrivals that the version read here
+    already holds are removed now, not when it was put, so that a reader of the version before keeps its files.
     """
-    for batch in sorted(_folded_batches(spark, root)):
-        files.remove(spark, f"{root}/arrivals/batch={batch}")
-    arrived = _arrived(spark, root)
+    versions = log.VersionLog(spark, root)
+    number, state = versions.latest()
+    done = state.get("done", {})
+    for name in files.subfolders(spark, f"{root}/arrivals"):
+        if name.startswith("batch=") and log.is_done(name.split("=", 1)[1], done):
+            files.remove(spark, f"{root}/arrivals/{name}")
+    for name in files.subfolders(spark, f"{root}/folded"):
+        # folds before the last one, and those of writers that died or were too late long ago
+        if int(name[2:14]) < number:
+            files.remove(spark, f"{root}/folded/{name}")
+    arrived = _arrived(spark, root, done)
     if not arrived:
-        return
-    write_snapshot(spark, f"{root}/folded", read_metadata(spark, root))
-    write_snapshot(spark, f"{root}/folded_batches", spark.createDataFrame([(b,) for b in arrived], _BATCHES))
+        return False
+    fold = f"v={number + 1:012d}-{uuid.uuid4().hex[:8]}"
+    _metadata(spark, root, state, arrived, False).write.parquet(f"{root}/folded/{fold}")
+    if versions.put(number + 1, {"fold": fold, "done": log.extended(done, arrived)}):
+        return True
+    files.remove(spark, f"{root}/folded/{fold}")
+    return False
 
 
 # ---- bronze, silver, reports -----------------------------------------------------------------
@@ -205,15 +220,16 @@ def fold_metadata(spark: SparkSession, root: str) -> None:
 
 def write_bronze(rows: DataFrame, path: str, batch: str, form: str = "parquet") -> None:
     """Scored events under year and month of their start; a batch (see :func:`batch_key`) written
-    again replaces itself."""
+    again replaces itself. Its folders are then entered in the index of arrivals."""
     start = F.col("_start")
     stored = rows.where(start.isNotNull()).withColumns({
         "year": F.date_format(start, "yyyy"), "month": F.date_format(start, "MM"),
         "batch": F.lit(batch),
     })
-    stored.drop(*[c for c in stored.columns if c.startswith("_")]) \
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+    stored = stored.drop(*[c for c in stored.columns if c.startswith("_")])
+    stored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy("year", "month", "batch").format(form).save(path)
+    note_arrival(rows.sparkSession, path, batch, stored.schema)
 
 
 def _at(df: DataFrame, as_of: Column) -> DataFrame:
