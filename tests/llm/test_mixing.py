@@ -86,3 +86,53 @@ def test_odd_rows(spark):
 def test_no_python(spark):
     plan = mixing.mix(read(spark, SF))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def near(docs, got, cap=2.0):
+    """Every source within one pass of a document or 5 % of its target, none at zero."""
+    longest, taken, target, size = {}, {}, {}, {}
+    for r in got:
+        longest[r.source] = max(longest.get(r.source, 0), r.size)
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+        target[r.source], size[r.source] = r.target, r.source_size
+        assert r.taken <= math.ceil(cap) * r.size
+    for s, words_taken in taken.items():
+        if size[s]:
+            assert words_taken > 0 and abs(words_taken - target[s]) <= max(0.05 * target[s], min(longest[s], 0.05 * target[s] + 1))
+            assert words_taken <= cap * size[s] + 1
+
+
+def test_many_small_sources(spark):
+    even = [(i, "w " * 20, "en", f"s{i:03d}", 0) for i in range(300)]
+    got = mixing.mix(frame(spark, even)).collect()
+    near(even, got)
+    assert abs(sum(r.taken for r in got) - 9000) <= 300
+    rising = [(i, "w " * n, "en", f"s{n:02d}", 0) for n in range(1, 41) for i in range(n * 100, n * 100 + 1 + n % 3)]
+    near(rising, mixing.mix(frame(spark, rising)).collect())
+    mixed = [*rising, *[(10_000 + i, "w " * 300, "en", "hot", 0) for i in range(500)]]
+    near(mixed, mixing.mix(frame(spark, mixed)).collect())
+
+
+def test_a_cap_with_a_fraction(spark):
+    docs = [(i, "w " * 50, "en", "ab"[i % 2], 0) for i in range(40)] + [(99, "w " * 10, "en", "c", 0)]
+    got = mixing.mix(frame(spark, docs), weights=(1, 1, 50), cap=1.5).collect()
+    near(docs, got, 1.5)
+    assert sum(r.taken for r in got if r.source == "c") == 15
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 97, 1000, 30030, (1 << 31) + 11, (1 << 40) - 7, (1 << 41) + 5])
+def test_every_slot_has_its_place(spark, n):
+    a = mixing.stride(n)
+    inverse = pow(a, -1, n) if n > 1 else 0
+    places = sorted({0, 1 % n, n // 3, n // 2, n - 1})
+    df = spark.createDataFrame([(p,) for p in places], "p long").select(mixing.times_modulo(mixing.F.col("p"), inverse, n).alias("s"))
+    assert [r.s * a % n for r in df.collect()] == places
+
+
+def test_slots_are_exact(spark):
+    sources = spark.createDataFrame([(i, 1 + i * 37 % 11) for i in range(500)] + [(500, 4000)], "nth int, slots long")
+    rows = mixing.schedule(spark, sources).collect()
+    counts = {}
+    for r in rows:
+        counts[r.nth] = counts.get(r.nth, 0) + 1
+    assert counts == {r.nth: r.slots for r in sources.collect()} and sorted(r.slot for r in rows) == list(range(len(rows)))

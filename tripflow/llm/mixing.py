@@ -1,9 +1,13 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
-Slot i of the mix lies at the golden-ratio point frac(i * phi); mapped through the cumulative target
-shares it names a source. The slots of a source are ranked, and rank r takes block r (modulo the number
-of blocks) of that source's documents, which are shuffled by hash and cut into blocks of equal tokens.
-A source's documents form one stream of words, so a block may begin and end inside a document.
+A source of some words is cut into blocks of ``BLOCK_WORDS`` words, a small one into ``LEAST_BLOCKS`` blocks (of one word
+at least), and gets as many of the n slots as uses of its blocks make up its target; at least one, and no more
+than ``cap`` passes over it. Slot i of the mix lies at the golden-ratio point frac(i * a / n), where a is a number near
+n / phi without a common divisor with n: the n points are then n different n-ths, so that mapped through the
+cumulative numbers of slots every source is named exactly as often as it has slots, evenly spread. The slots of a
+source are ranked, and rank r takes block r (modulo the number of blocks) of that source's documents, which
+are shuffled by hash and cut into blocks of equal tokens. A source's documents form one stream of words, so a block may begin and end
+inside a document.
 
 Everything is DataFrame functions. A source of any size is cut: documents by hash into buckets and slots by
 number into chunks, whose sums give the places by a window over the sums; no window holds a whole source.
@@ -27,14 +31,18 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 CAP = 2.0
 BLOCK_WORDS = 32
+#: blocks of a source that has too few words for blocks of full size
+LEAST_BLOCKS = 40
 #: documents of a source in one window, about
 BUCKET_ROWS = 2_000
 #: consecutive slots in one window at most, as a power of two
 CHUNK_BITS = 15
-#: slots made by one task
+#: slots made from one row
 TASK_SLOTS = 1 << 19
-#: fraction of the golden ratio in units of 2 ** -62 (a fixed value); the product wraps, its low 62 bits count
-GOLDEN_62 = 2850178704830799621
+#: fraction of the golden ratio (a fixed value)
+GOLDEN = 0.6180339887498949
+#: numbers on either side of n / phi that are tried; among so many some have no common divisor with n below 2 ** 62
+NEIGHBOURS = 200
 
 
 def size(text: Column) -> Column:
@@ -88,32 +96,59 @@ def place_documents(sizes: DataFrame, sources: DataFrame) -> DataFrame:
         "begin", F.col("base") + F.col("inner")).drop("at_nth", "at_bucket", "base", "inner", "hash", "bucket")
 
 
+def stride(n: int) -> int:
+    """A number near n / phi without a common divisor with n: the one whose quotients of the Euclidean algorithm have
+    the least sum, which bounds how far any run of points a * i / n is from even."""
+    near = int(n * GOLDEN)
+    best = None
+    for a in range(max(1, near - NEIGHBOURS), min(n, near + NEIGHBOURS) + 1):
+        x, y, quotients = n, a, 0
+        while y:
+            quotients += x // y
+            x, y = y, x % y
+        if x == 1:
+            best = min(best or (quotients, abs(a - near), a), (quotients, abs(a - near), a))
+    return best[2]
+
+
+def times_modulo(x: Column, c: int, n: int) -> Column:
+    """x * c modulo n of whole numbers 0 <= x, c < n; no product leaves its type."""
+    if n <= 1 << 31:
+        return x * c % n
+    if n <= 1 << 40:
+        high, low = F.shiftright(x, 20), x.bitwiseAND(F.lit((1 << 20) - 1))
+        return (high * c % n * (1 << 20) + low * c) % n
+    wide = "decimal(19,0)"
+    return (x.cast(wide) * F.lit(c).cast(wide) % F.lit(n).cast(wide)).cast("long")
+
+
+def block_words(source_size: Column, block: int = BLOCK_WORDS) -> Column:
+    """Words of a block of a source."""
+    return F.least(F.lit(block), F.greatest(F.lit(1), F.floor(source_size / LEAST_BLOCKS))).cast("long")
+
+
 def schedule(spark: SparkSession, sources: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
     """slot, nth, rank: the source of every slot, and its rank among the slots of that source.
 
-    The number of slots is the target words over the words of a block. The shares' upper bounds (one for
-    each source) are one sorted array, in which every point counts those it has passed.
+    ``sources`` has nth and slots, or nth and target (words, of which a slot takes ``block``). Sources lie one after another on the
+    n places; place p is the point of slot p * (1 / a) modulo n. So every source makes its own slots, in rows of ``TASK_SLOTS``
+    places that are dealt over all tasks: no slot looks for its source, however many sources there are.
     """
+    if "slots" not in sources.columns:
+        sources = sources.withColumn("slots", F.round(F.col("target") / block).cast("long"))
     steps = Window.orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
-    bounds = sources.select(F.sum("target").over(steps).alias("upto"))
-    total = bounds.agg(F.max("upto")).first()[0] or 0.0
-    slots = math.ceil(total / block)
-    tasks = max(spark.sparkContext.defaultParallelism, -(-slots // TASK_SLOTS))
-    points = spark.range(0, slots, 1, tasks).select(
-        F.col("id").alias("slot"), F.shiftright("id", CHUNK_BITS).alias("chunk"),
-        bounds.agg(F.array_sort(F.collect_list("upto"))).scalar().alias("upto"))
-    # the low 31 bits of the multiplier and of its rest separately, so that no product leaves 64 bits
-    high, low = GOLDEN_62 >> 31, GOLDEN_62 & (1 << 31) - 1
-    mask31 = (1 << 31) - 1
-    n_low, n_high = F.col("slot").bitwiseAND(F.lit(mask31)), F.shiftright("slot", 31)
-    lows = n_low * low
-    tops = (n_low.bitwiseAND(F.lit(mask31)) * high).bitwiseAND(F.lit((1 << 31) - 1)) + (
-        n_high * low).bitwiseAND(F.lit(mask31)) + F.shiftright(lows, 31)
-    unit = tops.bitwiseAND(F.lit(mask31)) * float(2 ** -31) + lows.bitwiseAND(F.lit(mask31)) * float(2 ** -62)
-    # the point once per slot, not once per bound; the slots once for their counts and their ranks
-    points = compute_once(points, {"place": unit * total})
-    nth = F.size(F.filter("upto", lambda u: u <= F.col("place")))
-    points = common.stored(points.select("chunk", "slot", F.least(nth, F.size("upto") - 1).alias("nth")), "slots")
+    places = sources.where("slots > 0").select("nth", "slots", (F.sum("slots").over(steps) - F.col("slots")).alias("from"))
+    n = places.agg(F.sum("slots")).first()[0] or 1
+    tasks = max(spark.sparkContext.defaultParallelism, -(-n // TASK_SLOTS))
+    parts = places.select("nth", "slots", "from", F.explode(F.sequence(
+        F.lit(0), F.floor((F.col("slots") - 1) / TASK_SLOTS))).alias("part")).repartition(tasks, "nth", "part")
+    first = F.col("part") * TASK_SLOTS
+    last = F.least(F.col("slots"), first + TASK_SLOTS) - 1
+    points = parts.select("nth", F.explode(F.sequence(F.col("from") + first, F.col("from") + last)).alias("place"))
+    inverse = pow(stride(n), -1, n) if n > 1 else 0
+    points = compute_once(points, {"slot": times_modulo(F.col("place"), inverse, n)})
+    # the slots once for their counts and their ranks
+    points = common.stored(points.select(F.shiftright("slot", CHUNK_BITS).alias("chunk"), "slot", "nth"), "slots")
     counts = points.groupBy("nth", "chunk").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("nth").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select(F.col("nth").alias("at_nth"), F.col("chunk").alias("at_chunk"),
@@ -133,16 +168,19 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP
     placed = place_documents(sizes, sources.select(
         F.col("source").alias("source_name"), "nth", "n_docs", "source_size", "target"))
     placed = common.stored(placed.withColumn("row", F.monotonically_increasing_id()), "placed")
-    blocks = F.ceil(F.col("source_size") / block)
-    slots = schedule(spark, sources, block).join(
-        sources.select("nth", "source_size", "target"), "nth").where("source_size > 0")
-    # a rank beyond the whole blocks that the cap allows would repeat a document too often
-    slots = slots.withColumn("blocks", blocks).where(F.col("rank") < F.col("blocks") * int(cap))
+    step = block_words(F.col("source_size"), block)
+    blocks = F.ceil(F.col("source_size") / step)
+    uses = F.round(F.col("target") * blocks / F.col("source_size"))
+    wanted = F.when(F.col("target") > 0, F.least(F.greatest(uses, F.lit(1.0)), F.floor(blocks * cap))).cast("long")
+    per = sources.where("source_size > 0").select("nth", blocks.alias("blocks"), wanted.alias("slots"))
+    slots = schedule(spark, per.select("nth", "slots"), block).join(per.select("nth", "blocks"), "nth")
     uses = slots.groupBy("nth", (F.col("rank") % F.col("blocks")).alias("block")).agg(F.count("*").alias("uses"))
-    parts = placed.where("size > 0").select("row", "nth", "begin", "size", F.explode(F.sequence(
-        F.floor(F.col("begin") / block), F.floor((F.col("begin") + F.col("size") - 1) / block))).alias("block"))
-    words = F.least(F.col("begin") + F.col("size"), (F.col("block") + 1) * block) - F.greatest(
-        F.col("begin"), F.col("block") * block)
+    parts = placed.where("size > 0").withColumn("step", step).select(
+        "row", "nth", "begin", "size", "step", F.explode(F.sequence(
+            F.floor(F.col("begin") / F.col("step")),
+            F.floor((F.col("begin") + F.col("size") - 1) / F.col("step")))).alias("block"))
+    words = F.least(F.col("begin") + F.col("size"), (F.col("block") + 1) * F.col("step")) - F.greatest(
+        F.col("begin"), F.col("block") * F.col("step"))
     # merged, not broadcast: a long document has far more parts than its row's size tells
     taken = parts.join(uses.hint("merge"), ["nth", "block"]).groupBy("row").agg(F.sum(words * F.col("uses")).alias("taken"))
     return placed.join(taken, "row", "left").select(
@@ -184,20 +222,28 @@ placed AS (
   SELECT *, row_number() OVER () AS row, coalesce(sum(size) OVER (
     PARTITION BY nth ORDER BY (hash >> 20) % CAST(ceil(n_docs / {BUCKET_ROWS}.0) AS BIGINT), hash, doc_id, size
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM docs),
-bounds AS (SELECT nth, source_size, sum(target) OVER (ORDER BY nth) AS upto, sum(target) OVER () AS total FROM targets),
-slots AS (
-  SELECT slot, CAST((CAST(slot AS HUGEINT) * {GOLDEN_62}) % 4611686018427387904 AS DOUBLE) / 4611686018427387904.0 * total AS place
-  FROM (SELECT max(total) AS total FROM bounds), range(CAST(ceil(total / {BLOCK_WORDS}) AS BIGINT)) r(slot)),
+steps AS (
+  SELECT nth, source_size, target, greatest(1, least({BLOCK_WORDS}, source_size // {LEAST_BLOCKS})) AS step
+  FROM targets WHERE source_size > 0),
+cut AS (
+  SELECT nth, step, blocks, least(greatest(round(target * blocks / source_size), 1), 2 * blocks)::BIGINT AS slots
+  FROM (SELECT *, CAST(ceil(source_size / step) AS BIGINT) AS blocks FROM steps)),
+bounds AS (SELECT nth, blocks, sum(slots) OVER (ORDER BY nth) AS upto FROM cut),
+n AS (SELECT coalesce(sum(slots), 1)::BIGINT AS n, CAST(floor(coalesce(sum(slots), 1)::BIGINT * {GOLDEN}::DOUBLE) AS BIGINT) AS near FROM cut),
+euclid AS (
+  SELECT n, near, k, n AS x, k AS y, 0::BIGINT AS quotients
+  FROM (SELECT *, unnest(range(greatest(1, near - {NEIGHBOURS}), least(n, near + {NEIGHBOURS}) + 1)) AS k FROM n)
+  UNION ALL SELECT n, near, k, y, x % y, quotients + x // y FROM euclid WHERE y > 0),
+stride AS (SELECT n, k FROM euclid WHERE y = 0 AND x = 1 ORDER BY quotients, abs(k - near), k LIMIT 1),
+slots AS (SELECT slot, (CAST(slot AS HUGEINT) * k) % n AS place FROM stride, range(n) r(slot)),
 ranked AS (
-  SELECT b.nth, b.source_size, row_number() OVER (PARTITION BY b.nth ORDER BY slot) - 1 AS rank
+  SELECT b.nth, b.blocks, row_number() OVER (PARTITION BY b.nth ORDER BY slot) - 1 AS rank
   FROM slots ASOF JOIN bounds b ON slots.place < b.upto),
-uses AS (
-  SELECT nth, rank % blocks AS block, count(*) AS uses
-  FROM (SELECT *, CAST(ceil(source_size / {BLOCK_WORDS}.0) AS BIGINT) AS blocks FROM ranked WHERE source_size > 0)
-  WHERE rank < 2 * blocks GROUP BY ALL),
+uses AS (SELECT nth, rank % blocks AS block, count(*) AS uses FROM ranked GROUP BY ALL),
 taken AS (
-  SELECT row, sum((least(start + size, (u.block + 1) * {BLOCK_WORDS}) - greatest(start, u.block * {BLOCK_WORDS})) * uses) AS taken
-  FROM (SELECT *, unnest(range(start // {BLOCK_WORDS}, (start + size - 1) // {BLOCK_WORDS} + 1)) AS block FROM placed WHERE size > 0) p
+  SELECT row, sum((least(start + size, (u.block + 1) * step) - greatest(start, u.block * step)) * uses) AS taken
+  FROM (SELECT p.*, c.step, unnest(range(start // c.step, (start + size - 1) // c.step + 1)) AS block
+        FROM placed p JOIN cut c ON c.nth = p.nth WHERE size > 0) p
   JOIN uses u ON u.nth = p.nth AND u.block = p.block GROUP BY row)
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken
 FROM placed LEFT JOIN taken USING (row)"""}
