@@ -85,3 +85,84 @@ def test_empty(spark):
     some = spark.createDataFrame([(1, PASSAGE)], "item_id long, text string")
     assert dc.leaks(frame(spark, ODD), none).collect() == [] and dc.clean(frame(spark, ODD), none).count() == len(ODD)
     assert dc.leaks(frame(spark, []), some).collect() == [] and dc.clean(frame(spark, []), some).count() == 0
+
+
+def found(known, *texts):
+    return dc.search(known, *common.text_bytes(pa.array(list(texts))))
+
+
+def test_repetitive_texts_end():
+    import time
+    import tracemalloc
+    known = dc.index([(1, "a" * 300), (2, "ab " * 333), (3, "a" * 1000)])
+    begun = time.time()
+    tracemalloc.start()
+    got = found(known, "a" * 1_000_000, "b" * 1_000_000, "ab " * 100_000, "a" * 299, "a" * 200)
+    assert tracemalloc.get_traced_memory()[1] < 500 << 20
+    tracemalloc.stop()
+    assert [(r, p, used) for r, p, used, _, _ in got] == [(0, 0, 0), (0, 2, 0), (2, 1, 0), (3, 0, 1)]
+    assert time.time() - begun < 60
+
+
+def test_periodic_passages_against_the_whole_table():
+    """Passages and texts of few letters, where q-grams repeat: the whole table finds the same."""
+    dice = random.Random(8)
+    for trial in range(80):
+        unit = "".join(dice.choices("ab ", k=dice.randrange(1, 6)))
+        item = (unit * 60)[:dice.randrange(12, 70)].strip()
+        text = list((unit * 80)[dice.randrange(5):dice.randrange(20, 120)])
+        for _ in range(dice.randrange(6)):
+            if text:
+                text[dice.randrange(len(text))] = dice.choice(["a", "b", "", "c"])
+        text = "".join(text)
+        known = dc.index([(1, item)])
+        if not known.ids or len(known.texts[0]) < dc.Q:
+            continue
+        fewest = distance(plain(item).strip(), plain(text))
+        want = [(0, 0, fewest)] if fewest <= known.edits[0] else []
+        assert [x[:3] for x in found(known, text)] == want, (item, text)
+
+
+def test_many_passages_against_the_whole_table():
+    """All passages in all texts: none is lost among others, none is found where it isn't."""
+    dice = random.Random(9)
+    vocabulary = ["".join(dice.choices("abcdefgh", k=dice.randrange(2, 8))) for _ in range(60)]
+    items = [" ".join(dice.choices(vocabulary, k=dice.randrange(3, 9))) for _ in range(25)]
+    texts = []
+    for _ in range(12):
+        middle = list(dice.choice(items))
+        for _ in range(dice.randrange(4)):
+            middle[dice.randrange(len(middle))] = dice.choice(["", "z", "qq"])
+        texts.append(" ".join(dice.choices(vocabulary, k=15)) + " " + "".join(middle) + " " + " ".join(dice.choices(vocabulary, k=15)))
+    known = dc.index(list(enumerate(items)))
+    got = {(r, known.ids[p]): used for r, p, used, _, _ in found(known, *texts)}
+    edits = dict(zip(known.ids, known.edits.tolist(), strict=True))
+    want = {}
+    for r, text in enumerate(texts):
+        for i, item in enumerate(items):
+            fewest = distance(plain(item).strip(), plain(text))
+            if len(plain(item).strip()) >= dc.Q and fewest <= edits[i]:
+                want[r, i] = fewest
+    assert got == want and len(want) >= 8
+
+
+def test_one_replaced_word():
+    """At least 0.9 of the passages of 12 words or more are found when one of their words is another."""
+    dice = random.Random(3)
+    vocabulary = "treaty accord border river nation office letter paper signed during winter evening the of and to in was by".split()
+    hit = 0
+    for _ in range(300):
+        item = [dice.choice(vocabulary) for _ in range(dice.randrange(12, 25))]
+        changed = list(item)
+        at = dice.randrange(len(item))
+        changed[at] = dice.choice([w for w in vocabulary if w != item[at]])
+        around = " ".join(dice.choices(vocabulary, k=30))
+        hit += bool(found(dc.index([(1, " ".join(item))]), f"{around} {' '.join(changed)} {around}"))
+    assert hit >= 270
+
+
+def test_short_passages_between_borders():
+    known = dc.index([(1, "red panda"), (2, "Red  panda!"), (3, "panda"), (4, "a b")])
+    got = found(known, "the red panda ate", "the red pandas ate", "bored panda", "Red-Panda", "x a b", "xa b", None, "")
+    assert [(r, known.ids[p], used) for r, p, used, _, _ in got] == [(0, 1, 0), (0, 2, 0), (3, 1, 0), (3, 2, 0), (4, 4, 0)]
+    assert [(a, b) for r, _, _, a, b in got if r == 0] == [(4, 13)] * 2
