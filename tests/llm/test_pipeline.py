@@ -10,6 +10,7 @@ from test_decontamination import plain
 from test_mixing import check
 from test_near_dedup import brute
 
+from tripflow.llm import language_id
 from tripflow.llm.common import stored
 
 STAGES = dict(corpus_pipeline.STAGES)
@@ -48,6 +49,23 @@ def test_each_stage(spark, after):
     assert {r.doc_id for r in mixed} <= {r[0] for r in kept} and all(r.taken > 0 for r in mixed)
 
 
+def test_language_stage_decides(spark):
+    """Texts under another language's label go, their like without a label stay; a letter test in place of the model
+    would keep them all. Rows of the sample itself are taken at their word."""
+    docs = [(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in read(spark, SF.replace("0.001", "0.01")).collect()]
+    long = [r for r in docs if r[1] and r[2] not in (None, "en") and sum(map(str.isalpha, r[1])) >= 300][:80]
+    # a share of 4 in 100 of the rows said to be English
+    changed = [(100_000 + i, f"{r[1]} {i}", "en" if i % 3 == 0 else None, r[3], r[4]) for i, r in enumerate(long)]
+    table = frame(spark, docs + changed)
+    learnt = {(lang, text) for lang, text in language_id.sample(table)}
+    wrong = {r[0] for r in changed if r[2] and not any(r[1].startswith(t) and r[2] == lang for lang, t in learnt)}
+    kept = {r.doc_id for r in STAGES["language_id"](spark, table, SF).select("doc_id").collect()}
+    assert len(wrong) >= 15 and len(kept & wrong) <= 0.1 * len(wrong)
+    assert {r[0] for r in changed if not r[2]} <= kept
+    letters = {r[0] for r in docs if any(c.isalpha() for c in r[1] or "")}
+    assert len(letters - kept) <= 0.002 * len(letters)
+
+
 def test_run_is_all_stages(spark, after):
     assert sorted(map(tuple, corpus_pipeline.run(spark, SF).collect())) == sorted(map(tuple, after["mixing"].collect()))
 

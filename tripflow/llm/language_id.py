@@ -38,6 +38,9 @@ UNKNOWN = "und"
 SYMBOLS = 64
 DOCS_PER_LANGUAGE = 64
 CHARS_PER_LANGUAGE = 40_000
+#: a row goes where another language than its label's is so far ahead, in a text of so many letters
+SURE_SCORE = 0.25
+SURE_LETTERS = 50
 #: symbols that one stream parses; a text longer than this is parsed in so long stretches
 STRETCH = 2048
 NEW = np.int32(1 << 30)
@@ -267,19 +270,33 @@ def identify(docs: DataFrame, samples: list[tuple[str, str]], held_out=None) ->
         run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
+def rejected(text: str | None, label: str | None, name: str, score: float, learnt) -> bool:
+    """Whether a row goes: its text has no language, or clearly another one than its label says.
+
+    Clearly: the label is a language that was learnt, the text has ``SURE_LETTERS`` letters or more, and another language is
+    ``SURE_SCORE`` or more ahead. A row without a label, or with one that wasn't learnt, stays; so does a
+    row of the sample, whose text its own label's automaton has.
+    """
+    if name == UNKNOWN:
+        return True
+    return (label is not None and label != name and label in learnt and score >= SURE_SCORE
+            and sum(map(str.isalpha, text or "")) >= SURE_LETTERS)
+
+
 def keep_identified(docs: DataFrame, samples: list[tuple[str, str]]) -> DataFrame:
-    """The rows that have a language, all columns as they are; without any label, the rows that have a letter."""
-    spark, at = docs.sparkSession, docs.columns.index("text")
+    """The rows that aren't :func:`rejected`, all columns as they are; without any label, the rows that have a letter."""
+    spark, at, said = docs.sparkSession, docs.columns.index("text"), docs.columns.index("lang")
     common.small_batches(spark)
     sent, version = spark.sparkContext.broadcast(samples), hash(tuple(samples))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(sent, version)
+        learnt = {lang for lang, _ in sent.value}
         for batch in batches:
             for piece in common.pieces(batch, "text"):
-                texts = piece.column(at).to_pylist()
-                if model.languages:
-                    keep = [name != UNKNOWN for name in model.predict(texts)[0]]
+                texts, labels = piece.column(at).to_pylist(), piece.column(said).to_pylist()
+                if learnt:
+                    keep = [not rejected(*row, learnt) for row in zip(texts, labels, *model.predict(texts), strict=True)]
                 else:
                     keep = [bool(model.symbols(text or "").any()) for text in texts]
                 yield piece.filter(pa.array(keep, pa.bool_()))
