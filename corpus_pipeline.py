@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 next stage's docs. All but the last return the columns of ``documents`` and drop rows; the last lists the
 documents of the mix and how many words of each it takes.
 
-* language_id: rows without any letter, or without text, go (``und``). It learns from the labelled rows given to it.
+* language_id: rows without any letter, or without text, go (``und``), and rows whose text of 50 letters or more is clearly in
+  another language than their label says (``language_id.rejected``). It learns from a bounded sample of the labelled rows given to it.
 * exact_dedup: of equal texts the row with the largest id stays; of rows that repeat it, one.
 * near_dedup: of each component of near duplicates (five words, similarity 0.8) the row with the smallest id
   stays; rows that repeat its id stay with it only if their texts are in the same component.
