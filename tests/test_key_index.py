@@ -129,3 +129,61 @@ def test_a_ride_id_stands_once_in_a_month(spark, tmp_path):
     found = spark.read.parquet(path).select("year_month", "ride_id", "started_at")
     assert rows(found) == [("2024-01", "R1", dt.datetime(2024, 1, 15, 10, 0, 0, 250000)),
                            ("2024-02", "R1", dt.datetime(2024, 2, 15, 10, 0))]
+
+
+def merged(spark, path, trips, order):
+    from tripflow.operators import keyed
+
+    stored = tables._read_or_empty(spark, path, schema.TRIPS).select("year_month", "ride_id")
+    expected = rows(keyed.insert_if_absent(stored, trips, order, schema.MONTH_KEY).select("year_month", "ride_id", "bikeid").unionByName(
+        tables._read_or_empty(spark, path, schema.TRIPS).select("year_month", "ride_id", "bikeid")))
+    tables.merge_trips(spark, path, trips, at(), order)
+    return rows(spark.read.parquet(path).select("year_month", "ride_id", "bikeid")), expected
+
+
+def some_trips(spark, first, last, odd=True):
+    """Trips of two months; some ids come twice, some are no digest, some are missing."""
+    n = F.col("n")
+    empty = spark.createDataFrame([], schema.TRIPS).drop("load_timestamp")
+    key = F.when(n % 50 == 7, None).when(n % 5 == 0, F.concat(F.lit("R"), n)).otherwise(F.md5((n - (n % 9 == 0).cast("int")).cast("string")))
+    trips = spark.range(first, last).withColumnRenamed("id", "n").select(
+        (key if odd else F.md5(n.cast("string"))).alias("ride_id"), n.cast("string").alias("bikeid"),
+        F.when(n % 3 == 0, "2024-01").otherwise("2024-02").alias("year_month"), n.alias("_row"))
+    return empty.withColumn("_row", F.lit(0).cast("bigint")).unionByName(trips, allowMissingColumns=True)
+
+
+def test_merges_keep_one_row_an_id_whatever_is_stored(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for first, last in ((0, 300), (0, 300), (280, 500), (100, 310), (0, 900)):
+        found, expected = merged(spark, path, some_trips(spark, first, last), ["_row"])
+        assert found == expected
+
+
+def test_a_merge_moves_keys_and_leaves_rows(spark, tmp_path):
+    path, months = str(tmp_path / "t"), ["2024-01", "2024-02"]
+    trips = some_trips(spark, 0, 400, odd=False)
+    trips.write.parquet(str(tmp_path / "new"))
+    trips = spark.read.parquet(str(tmp_path / "new"))
+    fresh = tables.fresh_trips(spark, path, trips, ["_row"], months, str(tmp_path / "list"))
+    assert "Exchange" not in fresh._jdf.queryExecution().executedPlan().toString() and fresh.count() == 400
+    tables.merge_trips(spark, path, trips, at(), ["_row"], months, by_month=True)
+    assert tables.fresh_trips(spark, path, trips, ["_row"], months, str(tmp_path / "list2")) is None
+    more = some_trips(spark, 0, 410, odd=False)                 # few are new: they alone are ranked
+    fresh = tables.fresh_trips(spark, path, more, ["_row"], months, str(tmp_path / "list3"))
+    assert fresh.count() == 10 and spark.read.parquet(str(tmp_path / "list3")).count() == 10
+
+
+def test_a_load_leaves_no_copy_of_its_rows(spark, tmp_path):
+    before = spark.sparkContext.getCheckpointDir()
+    csvs, clean, house = tmp_path / "csv", str(tmp_path / "clean"), jobs.Warehouse(str(tmp_path / "house"))
+    write(csvs, "201306.csv", LEGACY, [legacy(bike=str(b)) for b in range(20)])
+    jobs.clean(spark, str(csvs), clean, 2026)
+    written = []
+    original = tables.files.remove
+    try:
+        tables.files.remove = lambda s, p: (written.append(p), original(s, p))
+        jobs.load(spark, clean, house, 2026, at())
+    finally:
+        tables.files.remove = original
+    assert spark.read.parquet(house.trips).count() == 20
+    assert len(written) == 1 and "tripflow-keys-" in written[0] and before.rsplit("/", 1)[-1] in written[0]
