@@ -210,3 +210,13 @@ def test_late_rows_add_to_closed_windows(spark, tmp_path):
     assert windows.fold_sums(spark, path) and rows(windows.read_sums(spark, path)) == got
     assert not windows.fold_sums(spark, path) and list((tmp_path / "windows" / "sums").glob("batch=*")) == []
     assert stream("two") == got  # a new checkpoint over the same rows counts none of them twice
+
+
+def test_what_only_the_rules_read_is_not_kept_for_the_sinks(spark, tmp_path, monkeypatch):
+    from tripflow.streaming import ingest as jobs
+
+    seen, root = [], str(tmp_path)
+    monkeypatch.setattr(jobs.tables, "write_bronze", lambda rows, *_: seen.append(rows.columns))
+    jobs.write_batch(spark.createDataFrame([('{"trip_id": "a", "bike_id": 1}',)], "value string"), "r-0", jobs.Sinks(
+        f"{root}/bronze", f"{root}/metadata", f"{root}/quarantine", f"{root}/rejected"))
+    assert {c for c in seen[0] if c.startswith("_")} <= {*jobs.KEPT} and "_start" in seen[0]

@@ -20,6 +20,8 @@ from tripflow.sources import tables
 
 # Wait of the poll loop between flushes.
 FLUSH_EVERY = "5 seconds"
+#: helper columns of the parser that the sinks are made from
+KEPT = ["_bike", "_start_station", "_end_station", "_age", "_duration", "_start", "_end", "_rejected"]
 #: batches between two folds of the metadata: every ten minutes
 FOLD_EVERY = 120
 
@@ -62,7 +64,9 @@ def split_events(scored: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 def write_batch(bodies: DataFrame, batch: str, sinks: Sinks, queued: bool = False) -> None:
     """Write one micro-batch to all sinks; parsed and scored once for all of them, without a shuffle."""
-    scored = score_events(E.parse_bodies(bodies), queued=queued).persist()
+    scored = score_events(E.parse_bodies(bodies), queued=queued)
+    # what only the rules read is not kept for the sinks
+    scored = scored.drop(*[c for c in scored.columns if c.startswith("_") and c not in KEPT]).persist()
     try:
         events, rejected = E.split_rejected(scored)
         bronze, metadata, poison = split_events(events)
