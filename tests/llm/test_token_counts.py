@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from conftest import SF
 from helpers import ODD, frame, read
+from pyspark.sql import functions as F
 
 from tripflow.llm import token_counts as tc
 
@@ -38,3 +39,11 @@ def test_odd_rows(spark):
 
 def test_empty(spark):
     assert tc.count_tokens(frame(spark, [])).collect() == []
+
+
+def test_documents_do_not_meet_on_the_driver(spark):
+    """The stored rows are far smaller than what a broadcast would make of them."""
+    got = tc.count_tokens(spark.range(3000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("a b "), F.col("id").cast("int") % 7).alias("text")))
+    assert got.count() == 3000 and got.where("n_tokens > 0").count() == 3000 - 429
+    shown = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in shown and "Broadcast" not in shown

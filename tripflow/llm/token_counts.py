@@ -138,9 +138,13 @@ def count(files: DataFrame, end: int = END_OF_DOCUMENT, width: int = 2, block: i
 
 
 def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, block: int = BLOCK_TOKENS) -> DataFrame:
-    """doc_id, n_tokens for every row, by way of token files in the shared folder."""
+    """doc_id, n_tokens for every row, by way of token files in the shared folder.
+
+    Both sides of the join have a row for each document. Their stored files are some hundred times smaller than the rows
+    (names of files repeat, lengths are packed lists), so that by size on disk Spark would send all of them to the driver.
+    """
     rows = write_files(docs, common.shared_folder(docs.sparkSession, "tokens"), vocabulary)
-    return rows.join(count(rows, block=block), ["file", "ordinal"]).select("doc_id", "n_tokens")
+    return rows.join(count(rows, block=block).hint("merge"), ["file", "ordinal"]).select("doc_id", "n_tokens")
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
