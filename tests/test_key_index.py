@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from test_cleaning import LEGACY, MODERN, legacy, modern, write
 
 from tripflow import schema
+from tripflow.operators import keyed
 from tripflow.plans import load as jobs
 from tripflow.sources import files, key_index, raw, tables
 from tripflow.sources.key_index import KeyIndex
@@ -187,3 +188,66 @@ def test_a_load_leaves_no_copy_of_its_rows(spark, tmp_path):
         tables.files.remove = original
     assert spark.read.parquet(house.trips).count() == 20
     assert len(written) == 1 and "tripflow-keys-" in written[0] and before.rsplit("/", 1)[-1] in written[0]
+
+
+def test_a_part_of_the_keys_is_looked_up_first(spark, index, monkeypatch):
+    monkeypatch.setattr(key_index, "FIRST_KEYS", 100)
+    for first, month in ((0, "2024-01"), (1000, "2024-01"), (0, "2024-02"), (50_000, "2024-03")):
+        store(ids(spark, first, first + 1000, month).coalesce(1), index.table)
+        index.catch_up([month])
+    months = ["2024-01", "2024-02", "2024-03"]
+    looked = []
+    met = KeyIndex._met
+    monkeypatch.setattr(KeyIndex, "_met", lambda self, new, pairs, *a: (looked.append(len(pairs)), met(self, new, pairs, *a))[1])
+    # the first two batches are stored as a whole, of the third there is one key, of the fourth none
+    new = ids(spark, 0, 2000).union(ids(spark, 7, 8, "2024-02")).union(ids(spark, 90_000, 90_003, "2024-03"))
+    paths, rows_met = index.hits(new, months, 2004)
+    assert looked[0] == 4 and looked[1] <= 2
+    assert paths == index.hits(new, months)[0] and len(paths) == 3
+    assert 500 < rows_met["2024-01"] < 2000 and rows_met["2024-02"] >= 1
+
+
+def test_a_load_makes_its_keys_once(spark, tmp_path, monkeypatch):
+    """Counts, lookups and the count of keys read the stored keys, not the trips."""
+    csvs, clean, house = tmp_path / "csv", str(tmp_path / "clean"), jobs.Warehouse(str(tmp_path / "house"))
+    for name in ("a b.csv", "c.csv"):
+        write(csvs, name, LEGACY, [legacy(bike=str(b % 7)) for b in range(9)])
+    jobs.clean(spark, str(csvs), clean, 2026)
+    plans = []
+    hits, counts = KeyIndex.hits, keyed.key_counts
+    seen = lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+    monkeypatch.setattr(KeyIndex, "hits", lambda self, new, *a: (seen(new), hits(self, new, *a))[1])
+    monkeypatch.setattr(keyed, "key_counts", lambda new, stored: (seen(new), counts(new, stored))[1])
+    jobs.load(spark, clean, house, 2026, at())
+    assert len(plans) == 2 and not any("md5" in plan or "started_at" in plan for plan in plans)
+    ledger = tables.read_snapshot(spark, house.ledger, schema.LEDGER)
+    assert rows(ledger.select("source_file", "records_loaded")) == [
+        (jobs.lineage_of(clean, "a b.csv"), 7), (jobs.lineage_of(clean, "c.csv"), 7)]
+    assert spark.read.parquet(house.trips).count() == 14
+
+
+def test_stations_are_the_same_from_their_first_rows_alone(spark):
+    n = F.col("n")
+    trips = spark.range(500).withColumnRenamed("id", "n").select(
+        F.concat(F.lit(" "), (n * 7 % 23).cast("string")).alias("start_station_id"), (n % 31).cast("string").alias("end_station_id"),
+        F.when(n % 3 > 0, F.concat(F.lit("S"), n)).alias("start_station_name"), F.concat(F.lit("E"), n).alias("end_station_name"),
+        *[(n / 10).alias(f"{side}_{c}") for side in ("start", "end") for c in ("lat", "lng")],
+        F.when(n % 4 > 0, F.concat(F.lit("f"), n % 4)).alias("source_file"), (499 - n).alias("_row"))
+    order = ["source_file", "_row"]
+    firsts = keyed.first_station_rows(trips, order)
+    assert rows(keyed.build_stations(trips, order, at(), firsts)) == rows(keyed.build_stations(trips, order, at()))
+    assert firsts.count() == 31
+    # trips are folded by hash; what is sorted are the folded places
+    plan = firsts._jdf.queryExecution().sparkPlan().toString()
+    assert "SortAggregate" not in plan and plan.index("Window") < plan.index("HashAggregate")
+
+
+def test_parsing_is_a_projection_below_the_generator(spark):
+    """A generator whose stage is too large to compile would evaluate the parsing expression by expression."""
+    from tripflow.functions.once import compute_once
+
+    texts = spark.createDataFrame([("1", "a"), ("x", "b")], "n string, _once string")
+    parsed = compute_once(texts, {"n": F.col("n").try_cast("int")}).where("n > 0 or n is null")
+    assert rows(parsed.select("_once", "n")) == [("a", 1), ("b", None)]
+    generate = [line for line in parsed._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Generate" in line]
+    assert len(generate) == 1 and "cast" not in generate[0]
